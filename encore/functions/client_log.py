@@ -36,10 +36,12 @@ def field(parts: Column, i: int) -> Column:
 
 def strict_fields(line: Column) -> Column:
     """Intended reading: six fields where the payload (field 3) may itself
-    contain ``&``.  Returns the regex groups as an array, or empty on mismatch."""
-    pat = r"^([^&]*)&([^&]*)&([^&]*)&(.*)&([^&]*)&([^&]*)$"
-    return F.when(F.regexp_extract(line, pat, 0) != "",
-                  F.array(*[F.regexp_extract(line, pat, i) for i in range(1, 7)]))
+    contain ``&`` (trailing ``&`` dropped first, as in the reference reading).
+    Returns the six fields as an array, NULL on mismatch."""
+    pat = r"(?s)^([^&]*)&([^&]*)&([^&]*)&(.*)&([^&]*)&([^&]*)$"
+    trimmed = F.regexp_replace(line, "&+$", "")
+    return F.when(F.regexp_extract(trimmed, pat, 0) != "",
+                  F.array(*[F.regexp_extract(trimmed, pat, i) for i in range(1, 7)]))
 
 
 def song_play_schema(include_play_time: bool = False) -> T.StructType:
