@@ -20,7 +20,8 @@ Two physical strategies, same results (tests check they agree):
     ``min(di+k+1, d(i+1))``.  Deltas are summed per (key, day) -- bounded by
     the number of days, whatever the key's row count -- and a running sum in
     day order gives the distinct count.  Row counts and daily peaks are RANGE
-    frames over the per-day counts.
+    frames over the per-day counts.  Four shuffles, each after a map-side
+    partial aggregation or on already de-duplicated rows.
 """
 
 from __future__ import annotations
@@ -40,9 +41,10 @@ def _stacked(df: DataFrame, key: str, day: str, distinct: Sequence[str]) -> Data
     """One row per input row and kind: ('#', day) plus (col, value) per column."""
     pairs = [F.struct(F.lit(_COUNT_KIND).alias("kind"), F.col(day).cast("string").alias("v"))]
     pairs += [F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("v")) for c in distinct]
-    return (df.select(F.col(key).alias("key"), day_number(F.col(day)).alias("dn"),
-                      F.inline(F.array(*pairs)))
-              .where((F.col("kind") == _COUNT_KIND) | F.col("v").isNotNull()))
+    base = df.select(F.col(key).alias("key"), day_number(F.col(day)).alias("dn"),
+                     F.array(*pairs).alias("_kv"))
+    return (base.select("key", "dn", F.inline("_kv"))
+            .where((F.col("kind") == _COUNT_KIND) | F.col("v").isNotNull()))
 
 
 def trailing_stats(df: DataFrame, key: str, day: str, spans: Sequence[int],
@@ -108,35 +110,50 @@ def _many_days(df, key, day, spans, distinct) -> DataFrame:
             .groupBy("key", "kind", "v", "dn")
             .agg(F.count(F.lit(1)).alias("n")))
     nxt = F.lead("dn").over(Window.partitionBy("key", "kind", "v").orderBy("dn"))
-    # Events: (point, span, delta).  span -1 = "+1 for every span"; the count
-    # kind carries its daily count with span -1 too.
-    ev_t = "struct<point:int,span:int,delta:bigint>"
-    cnt_events = F.array(F.struct(F.col("dn").alias("point"), F.lit(-1).alias("span"),
-                                  F.col("n").cast("bigint").alias("delta")))
-    ends = [F.struct(F.col("dn").alias("point"), F.lit(-1).alias("span"), F.lit(1).cast("bigint").alias("delta")),
-            F.struct((F.col("dn") + 1).alias("point"), F.lit(0).alias("span"), F.lit(-1).cast("bigint").alias("delta"))]
-    for k in spans:
-        end = F.least(F.col("dn") + (k + 1), F.coalesce(F.col("nxt"), F.col("dn") + (k + 1)))
-        ends.append(F.struct(end.alias("point"), F.lit(k).alias("span"), F.lit(-1).cast("bigint").alias("delta")))
-    val_events = F.array(*ends)
-    is_cnt = F.col("kind") == _COUNT_KIND
-    events = (lvl1.withColumn("nxt", F.when(~is_cnt, nxt))
-              .select("key", "kind",
-                      F.inline(F.when(is_cnt, cnt_events).otherwise(val_events).cast(f"array<{ev_t}>"))))
-    aggs = [F.sum(F.when(F.col("kind") == _COUNT_KIND, F.col("delta")).otherwise(0)).alias("n")]
+    # Events, one wide row each: the day's count, "value seen here" flags and
+    # running-sum deltas per (column, span).  A value seen on day dn adds +1
+    # to every span's running sum at dn and -1 at min(dn+k+1, next day seen);
+    # when the ends of two spans coincide they share one event row.
+    dcols = [f"{c}_here" for c in distinct] + [f"{c}_{k}" for c in distinct for k in spans]
+    ev_fields = ["point", "n"] + dcols
+
+    def event(point, n, deltas: dict) -> Column:
+        vals = [point.cast("int").alias("point"), n.cast("bigint").alias("n")]
+        vals += [F.lit(deltas.get(c, 0)).cast("bigint").alias(c) if not isinstance(deltas.get(c, 0), Column)
+                 else deltas[c].cast("bigint").alias(c) for c in dcols]
+        return F.struct(*vals)
+
+    kind, dn = F.col("kind"), F.col("dn")
+    zero = F.lit(0)
+    cnt_events = F.array(event(dn, F.col("n"), {}))
+    ends = {k: F.least(dn + (k + 1), F.coalesce(F.col("nxt"), dn + (k + 1))) for k in spans}
+    per_kind = []
     for c in distinct:
-        for k in [0] + spans:
-            hit = (F.col("kind") == c) & ((F.col("span") == k) | (F.col("span") == -1))
-            aggs.append(F.sum(F.when(hit, F.col("delta")).otherwise(0)).alias(f"dd_{c}_{k}"))
-    # Level 2: one row per (key, point) -- at most a few per day and key.
-    points = events.groupBy("key", "point").agg(*aggs)
+        start = event(dn, zero, {f"{c}_here": 1, **{f"{c}_{k}": 1 for k in spans}})
+        separate = [event(ends[k], zero, {f"{c}_{k}": -1}) for k in spans]
+        if len(spans) == 2:
+            a, b = spans
+            shared = event(ends[a], zero, {f"{c}_{a}": -1, f"{c}_{b}": -1})
+            arr = F.when(ends[a] == ends[b], F.array(start, shared)).otherwise(F.array(start, *separate))
+        else:
+            arr = F.array(start, *separate)
+        per_kind.append((c, arr))
+    events_arr = cnt_events
+    for c, arr in reversed(per_kind):
+        events_arr = F.when(kind == c, arr).otherwise(events_arr)
+    is_cnt = kind == _COUNT_KIND
+    events = (lvl1.withColumn("nxt", F.when(~is_cnt, nxt))
+              .select("key", F.inline(events_arr)))
+    # Level 2: one row per (key, point) -- a few per day and key at most.
+    points = events.groupBy("key", "point").agg(*[F.sum(c).alias(c) for c in ev_fields[1:]])
     w = Window.partitionBy("key").orderBy("point")
     running = w.rangeBetween(Window.unboundedPreceding, 0)
     cols = [F.col("key").alias(key), day_string(F.col("point")).alias(day), F.col("n").alias("n_0")]
     cols += [F.sum("n").over(w.rangeBetween(-k, 0)).alias(f"n_{k}") for k in spans]
     cols += [F.max("n").over(w.rangeBetween(-k, 0)).alias(f"peak_{k}") for k in spans]
     for c in distinct:
-        cols += [F.sum(f"dd_{c}_{k}").over(running).alias(f"d_{c}_{k}") for k in [0] + spans]
+        cols.append(F.col(f"{c}_here").alias(f"d_{c}_0"))
+        cols += [F.sum(f"{c}_{k}").over(running).alias(f"d_{c}_{k}") for k in spans]
     return (points.select(*cols, F.col("n").alias("_today"))
             .where(F.col("_today") > 0)
             .select(*_output_columns(key, day, spans, distinct)))

@@ -26,8 +26,15 @@ from pyspark.sql import functions as F
 from .. import schemas
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table.  ``spread``: each test file is a single parquet row group,
+    so its scan is one task, while a warehouse fact table is many files read
+    in parallel; spread the rows over the default parallelism right after the
+    scan (column pruning still reaches the scan) to model that."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def _s(c) -> Column:
@@ -53,7 +60,7 @@ def _ntz_from_epoch_seconds(sec: Column) -> Column:
 # --------------------------------------------------------------------------- songs
 def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``to_client_song_play_operate_req_d`` from lineitem."""
-    li = _t(spark, sf_dir, "lineitem")
+    li = _t(spark, sf_dir, "lineitem", spread=True)
     song = F.col("l_partkey") % 101
     user = F.col("l_suppkey") % 23
     return li.select(
@@ -145,7 +152,7 @@ def client_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields), 6 five fields, 7 an ``&`` inside the song name (seven fields),
     8 malformed JSON, 9 a payload missing two keys.
     """
-    ev = _t(spark, sf_dir, "events")
+    ev = _t(spark, sf_dir, "events", spread=True)
     e, uid_src, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
     v = e % 10
     rtype = F.lit(SONG_PLAY_TYPE)
@@ -177,7 +184,7 @@ def client_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- users
 def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``to_user_login_info_d`` from orders."""
-    o = _t(spark, sf_dir, "orders")
+    o = _t(spark, sf_dir, "orders", spread=True)
     k = F.col("o_orderkey")
     return o.select(
         _s("o_custkey").alias("uid"), _s(k).alias("id"), _s(F.col("o_custkey") % 50).alias("mid"),
