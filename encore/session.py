@@ -31,6 +31,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "enc
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = "8g"
     conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="encore-ckpt-")
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="encore-wh-")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
