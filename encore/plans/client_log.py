@@ -16,22 +16,24 @@ from .. import schemas
 from ..functions import client_log as L
 
 
-def parse(lines: DataFrame, mode: str = "reference", partitions: int | None = None) -> DataFrame:
+def parse(lines: DataFrame, mode: str = "reference", partitions: int | None = None,
+          keep: tuple[str, ...] = ()) -> DataFrame:
     """Split each line on ``&`` and keep records with exactly six fields.
 
     ``reference``: an ``&`` inside the payload makes more than six fields and
     the record is dropped.  ``intended``: the payload may contain ``&``.
     ``partitions``: spread rows over that many tasks right after the read
     (a gzip file is one task); round-robin, so a dominant request type does
-    not land in one task.
+    not land in one task.  ``keep``: input columns carried along (e.g. a
+    ``data_dt`` discovered from the landing directory).
     """
     if mode == "reference":
         parts = L.split_fields(F.col("value"))
-        out = lines.select(parts.alias("_p")).where(F.size("_p") == L.N_FIELDS)
+        out = lines.select(parts.alias("_p"), *keep).where(F.size("_p") == L.N_FIELDS)
     else:
-        out = lines.select(L.strict_fields(F.col("value")).alias("_p")).where(F.col("_p").isNotNull())
+        out = lines.select(L.strict_fields(F.col("value")).alias("_p"), *keep).where(F.col("_p").isNotNull())
     out = out.select(L.field(F.col("_p"), 2).alias("request_type"),
-                     L.field(F.col("_p"), 3).alias("payload"))
+                     L.field(F.col("_p"), 3).alias("payload"), *keep)
     if partitions:
         out = out.repartition(partitions)
     return out
@@ -39,7 +41,8 @@ def parse(lines: DataFrame, mode: str = "reference", partitions: int | None = No
 
 def _flat(parsed: DataFrame, include_play_time: bool) -> DataFrame:
     plays = parsed.where(F.col("request_type") == L.SONG_PLAY)
-    return plays.select("payload", L.parse_payload(F.col("payload"), include_play_time).alias("_j"))
+    extra = [c for c in parsed.columns if c not in ("request_type", "payload")]
+    return plays.select("payload", L.parse_payload(F.col("payload"), include_play_time).alias("_j"), *extra)
 
 
 def _is_reject(include_play_time: bool = False):
@@ -51,9 +54,10 @@ def _field_names(include_play_time: bool) -> list[str]:
     return [f.name for f in L.song_play_schema(include_play_time).fields if f.name != L.CORRUPT]
 
 
-def song_play(parsed: DataFrame, data_dt: str, mode: str = "reference",
+def song_play(parsed: DataFrame, data_dt: str | None, mode: str = "reference",
               include_play_time: bool = False) -> DataFrame:
-    """Song-play records as the ten-column table for ``data_dt``.
+    """Song-play records as the ten-column table for ``data_dt`` (None: take
+    the ``data_dt`` column carried by ``parsed``).
 
     ``reference``: a missing key is stored as the text ``null`` (the text
     table the warehouse loads holds that word); ``intended``: NULL.
@@ -65,7 +69,8 @@ def song_play(parsed: DataFrame, data_dt: str, mode: str = "reference",
         v = F.col("_j").getField(n)
         return F.coalesce(v, F.lit(L.MISSING_TEXT)) if mode == "reference" else v
 
-    return flat.select(*[val(n).alias(n) for n in names], F.lit(str(data_dt)).alias("data_dt"))
+    day = F.col("data_dt") if data_dt is None else F.lit(str(data_dt))
+    return flat.select(*[val(n).alias(n) for n in names], day.alias("data_dt"))
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
@@ -88,10 +93,11 @@ def route(parsed: DataFrame, mode: str = "reference", include_play_time: bool =
         return F.coalesce(v, F.lit(L.MISSING_TEXT)) if mode == "reference" else F.coalesce(v, F.lit(""))
 
     row = F.concat_ws("\t", *[txt(n) for n in names])
-    with_j = parsed.select("request_type", "payload", F.when(is_play, j).alias("_j"))
+    extra = [c for c in parsed.columns if c not in ("request_type", "payload")]
+    with_j = parsed.select("request_type", "payload", F.when(is_play, j).alias("_j"), *extra)
     bad = is_play & _is_reject()
     return (with_j.where(~bad)
-            .select("request_type", F.when(is_play, row).otherwise(F.col("payload")).alias("line")))
+            .select("request_type", F.when(is_play, row).otherwise(F.col("payload")).alias("line"), *extra))
 
 
 def song_play_from_lines(lines: DataFrame, data_dt: str, mode: str = "reference") -> DataFrame:
