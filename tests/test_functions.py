@@ -128,3 +128,18 @@ def test_rsi_formulas(spark):
     assert math.isclose(r[0], (L(5) * .63 * .8 + L(0) * .63 * .2) ** 2 * 10)
     assert math.isclose(r[1], ((L(20 / 7) * .63 + L(9) * .37) * .8 + (L(0) * .63 + L(0) * .37) * .2) ** 2 * 10)
     assert math.isclose(r[2], ((L(20 / 7) * .63 + L(0) * .37) * .8 + (L(9 / 7) * .63 + L(0) * .37) * .2) ** 2 * 10)
+
+
+def test_sql_functions_match_columns(spark):
+    from encore.functions import sql as SQL
+    SQL.register(spark)
+    vals = ["null", "20200101", "20200101120000", None, "1", "2", "[8,6,9]", "[8]", "8", "0", "3", "",
+            "12.5", "x", " 1 "]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    df.createOrReplaceTempView("sqlfn_vectors")
+    got = spark.sql("SELECT compact_time(x), product_name(x), product_types(x), login_mode(x), score_int(x) "
+                    "FROM sqlfn_vectors").collect()
+    exp = df.select(M.compact_time(F.col("x")), M.product_name(F.col("x")), S.product_types(F.col("x")),
+                    U.login_mode(F.col("x")), U.score_int(F.col("x"))).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in exp]
+    assert spark.sql("SELECT day_minus('20201230', 30)").first()[0] == "20201130"
