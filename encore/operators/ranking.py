@@ -7,6 +7,11 @@
     (partition, group) row counts -- at most one row per partition boundary
     and group -- give every partition its starting offset.
 
+``row_number``  the entry point: materialises the input once, measures the
+    largest group and takes the plain window when that group is within a
+    proven size (``max_group_rows``), the sorted plan otherwise -- the same
+    kind of size check that guards a broadcast.
+
 ``top_n``  ``row_number() <= n`` with a window: Catalyst inserts a partial
     ``WindowGroupLimit`` before the shuffle, so every task ships at most n
     rows per group, however large or skewed the group is.
@@ -19,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sinks.tables import materialize
+
 _PID = "_rk_pid"
 _POS = "_rk_pos"
 
@@ -35,6 +42,11 @@ def row_number_sorted(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     pos = (F.monotonically_increasing_id()
            - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
     numbered = df.orderBy(*keys).select("*", F.spark_partition_id().alias(_PID), pos.alias(_POS))
+    # The numbering is read twice (offsets, then the join), i.e. the sort runs
+    # twice.  Over a materialised input (see ``row_number``) both runs sample
+    # the same range bounds and put every row in the same task; positions can
+    # only differ among rows equal on all order keys, which leaves each
+    # (task, group) count -- and so a valid numbering -- unchanged.
     # Groups are contiguous in sort order, so per (task, group) we only need
     # the first position and the row count; offsets come from earlier tasks.
     g = [F.col(c) for c in group_cols]
@@ -57,6 +69,20 @@ def row_number_sorted(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     return joined.withColumn(rank_col, rank).drop(_PID, _POS, "_first", "_before")
 
 
+def row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+               rank_col: str = "rank", max_group_rows: int = 5_000_000,
+               staged: bool = False) -> DataFrame:
+    """``row_number()`` per group; no group larger than ``max_group_rows`` is
+    ever ranked inside one task.  ``staged=True`` when ``df`` is already
+    materialised (a table read, a checkpoint)."""
+    src = df if staged else materialize(df)
+    biggest = (src.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0) if group_cols \
+        else src.count()
+    if biggest <= max_group_rows:
+        return row_number_window(src, group_cols, order, rank_col)
+    return row_number_sorted(src, group_cols, order, rank_col)
+
+
 def row_number_window(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
                       rank_col: str = "rank") -> DataFrame:
     """Plain window ``row_number()``; right for many small groups."""

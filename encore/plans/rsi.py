@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import rsi as R
-from ..operators.ranking import row_number_sorted, top_n as _top_n
+from ..operators.ranking import row_number, top_n as _top_n
 
 
 def _long_by_period(scored: DataFrame, ids: list[str]) -> DataFrame:
@@ -39,11 +39,17 @@ def _song_order():
     return [F.col("rsi").desc_nulls_last(), F.col("nbr").asc_nulls_first()]
 
 
-def song_rsi(features: DataFrame, data_dt: str | None = None) -> DataFrame:
-    """Rank songs by RSI per day and period (``row_number``, 1 = highest)."""
+def song_rsi(features: DataFrame, data_dt: str | None = None,
+             max_group_rows: int = 5_000_000) -> DataFrame:
+    """Rank songs by RSI per day and period (``row_number``, 1 = highest).
+
+    The scores are materialised once; a (day, period) group above
+    ``max_group_rows`` songs is ranked by the distributed sort.
+    """
     if data_dt is not None:
         features = features.where(F.col("data_dt") == F.lit(data_dt))
-    ranked = row_number_sorted(song_scores(features), ["data_dt", "period"], _song_order(), "rsi_rank")
+    ranked = row_number(song_scores(features), ["data_dt", "period"], _song_order(), "rsi_rank",
+                        max_group_rows)
     return ranked.select(*schemas.SONG_RSI.names)
 
 
@@ -95,10 +101,11 @@ def _singer_order():
             F.col("singer1").asc_nulls_first()]
 
 
-def singer_rsi(features: DataFrame, data_dt: str | None = None) -> DataFrame:
+def singer_rsi(features: DataFrame, data_dt: str | None = None,
+               max_group_rows: int = 5_000_000) -> DataFrame:
     """Roll songs up to first singers, score and rank per day and period."""
     scores = singer_scores(singer_rollup(features, data_dt))
-    ranked = row_number_sorted(scores, ["data_dt", "period"], _singer_order(), "rsi_rank")
+    ranked = row_number(scores, ["data_dt", "period"], _singer_order(), "rsi_rank", max_group_rows)
     return ranked.select(*schemas.SINGER_RSI.names)
 
 

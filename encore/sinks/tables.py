@@ -99,10 +99,21 @@ def publish_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",
     w.save()
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir`` (a
-    shared folder on a cluster), so later stages never recompute upstream
-    work and survive executor loss."""
+def materialize(df: DataFrame, how: str = "parquet") -> DataFrame:
+    """Compute ``df`` once and cut its lineage, in the shared folder named by
+    ``spark.checkpoint.dir`` (never a machine-local or local checkpoint).
+
+    ``parquet`` (default) writes a columnar table there and reads it back --
+    compact, and later reads scan only the columns they use; ``checkpoint``
+    uses ``DataFrame.checkpoint()``.  Either way later stages never recompute
+    upstream work, and a lost executor re-reads files instead.
+    """
+    import uuid
+
     from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    d = checkpoint_dir(df.sparkSession)
+    if how == "checkpoint":
+        return df.checkpoint(eager=True)
+    path = f"{d.rstrip('/')}/encore-stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

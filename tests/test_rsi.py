@@ -81,3 +81,16 @@ def test_singer_rollup_and_rank(spark):
     assert r.columns == schemas.SINGER_RSI.names
     assert r.count() == 3 * 3
     assert rows(rsi.singer_rsi_top(f, 1)) == rows(r.where("rsi_rank <= 1"))
+
+
+def test_size_checked_ranking_paths_agree(spark):
+    from encore.operators.ranking import row_number
+    df = _scores(spark, 2000, seed=5)
+    order = [F.col("score").desc(), F.col("id").asc()]
+    small_limit = row_number(df, ["grp", "period"], order, "rk", max_group_rows=10)   # sorted plan
+    default = row_number(df, ["grp", "period"], order, "rk")                          # window plan
+    cols = ("grp", "period", "id", "rk")
+    assert rows(small_limit, *cols) == rows(default, *cols)
+    f = _features(spark)
+    assert rows(rsi.song_rsi(f, max_group_rows=1)) == rows(rsi.song_rsi(f))
+    assert rows(rsi.singer_rsi(f, max_group_rows=1)) == rows(rsi.singer_rsi(f))
