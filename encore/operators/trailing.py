@@ -14,14 +14,16 @@ Two physical strategies, same results (tests check they agree):
     of all plays, the anonymous uid) is collapsed before it is shuffled.
 
 ``many days``   one scan for the whole range, no per-day re-scan and no
-    row fan-out by span.  Distinct values are turned into coverage intervals:
+    row fan-out by span.  Each (key, value) is reduced to the sorted set of
+    days it occurs on -- at most the number of days in the range, however
+    many rows -- and distinct values are turned into coverage intervals:
     a value seen on days d1 < d2 < … counts for window ``k`` on every day of
     ``[di, min(di+k, d(i+1)-1)]``, which is a +1 at ``di`` and a -1 at
     ``min(di+k+1, d(i+1))``.  Deltas are summed per (key, day) -- bounded by
     the number of days, whatever the key's row count -- and a running sum in
     day order gives the distinct count.  Row counts and daily peaks are RANGE
-    frames over the per-day counts.  Four shuffles, each after a map-side
-    partial aggregation or on already de-duplicated rows.
+    frames over the per-day counts.  Three shuffles, each after a map-side
+    partial aggregation.
 """
 
 from __future__ import annotations
@@ -105,45 +107,48 @@ def _single_day(df, key, day, spans, distinct, the_day) -> DataFrame:
 
 
 def _many_days(df, key, day, spans, distinct) -> DataFrame:
-    # Level 1: distinct (key, kind, value, day) with the row count.
+    # Level 1: per (key, kind, value) the sorted set of days it was seen on
+    # (bounded by the number of days in the range, whatever the row count)
+    # and its row count.  For the count kind the value is the day itself, so
+    # the count is the daily count.  Partial on the map side: a hot value
+    # ships one small set per task.
     lvl1 = (_stacked(df, key, day, distinct)
-            .groupBy("key", "kind", "v", "dn")
-            .agg(F.count(F.lit(1)).alias("n")))
-    nxt = F.lead("dn").over(Window.partitionBy("key", "kind", "v").orderBy("dn"))
+            .groupBy("key", "kind", "v")
+            .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("dn")).alias("days")))
     # Events, one wide row each: the day's count, "value seen here" flags and
-    # running-sum deltas per (column, span).  A value seen on day dn adds +1
-    # to every span's running sum at dn and -1 at min(dn+k+1, next day seen);
-    # when the ends of two spans coincide they share one event row.
+    # running-sum deltas per (column, span).  A value seen on day d adds +1 to
+    # every span's running sum at d and -1 at min(d+k+1, next day seen); when
+    # the ends of two spans coincide they share one event row.
     dcols = [f"{c}_here" for c in distinct] + [f"{c}_{k}" for c in distinct for k in spans]
     ev_fields = ["point", "n"] + dcols
 
     def event(point, n, deltas: dict) -> Column:
         vals = [point.cast("int").alias("point"), n.cast("bigint").alias("n")]
-        vals += [F.lit(deltas.get(c, 0)).cast("bigint").alias(c) if not isinstance(deltas.get(c, 0), Column)
-                 else deltas[c].cast("bigint").alias(c) for c in dcols]
+        for c in dcols:
+            v = deltas.get(c, 0)
+            vals.append((v if isinstance(v, Column) else F.lit(v)).cast("bigint").alias(c))
         return F.struct(*vals)
 
-    kind, dn = F.col("kind"), F.col("dn")
-    zero = F.lit(0)
-    cnt_events = F.array(event(dn, F.col("n"), {}))
-    ends = {k: F.least(dn + (k + 1), F.coalesce(F.col("nxt"), dn + (k + 1))) for k in spans}
-    per_kind = []
-    for c in distinct:
-        start = event(dn, zero, {f"{c}_here": 1, **{f"{c}_{k}": 1 for k in spans}})
-        separate = [event(ends[k], zero, {f"{c}_{k}": -1}) for k in spans]
-        if len(spans) == 2:
+    days = F.col("days")
+
+    def value_events(c):
+        def per_day(d, i):
+            nxt = F.get(days, i + 1)
+            ends = {k: F.least(d + (k + 1), F.coalesce(nxt, d + (k + 1))) for k in spans}
+            start = event(d, F.lit(0), {f"{c}_here": 1, **{f"{c}_{k}": 1 for k in spans}})
+            separate = [event(ends[k], F.lit(0), {f"{c}_{k}": -1}) for k in spans]
+            if len(spans) != 2:
+                return F.array(start, *separate)
             a, b = spans
-            shared = event(ends[a], zero, {f"{c}_{a}": -1, f"{c}_{b}": -1})
-            arr = F.when(ends[a] == ends[b], F.array(start, shared)).otherwise(F.array(start, *separate))
-        else:
-            arr = F.array(start, *separate)
-        per_kind.append((c, arr))
-    events_arr = cnt_events
-    for c, arr in reversed(per_kind):
-        events_arr = F.when(kind == c, arr).otherwise(events_arr)
-    is_cnt = kind == _COUNT_KIND
-    events = (lvl1.withColumn("nxt", F.when(~is_cnt, nxt))
-              .select("key", F.inline(events_arr)))
+            shared = event(ends[a], F.lit(0), {f"{c}_{a}": -1, f"{c}_{b}": -1})
+            return F.when(ends[a] == ends[b], F.array(start, shared)).otherwise(F.array(start, *separate))
+        return F.flatten(F.transform(days, per_day))
+
+    kind = F.col("kind")
+    events_arr = F.array(event(F.get(days, 0), F.col("n"), {}))
+    for c in reversed(list(distinct)):
+        events_arr = F.when(kind == c, value_events(c)).otherwise(events_arr)
+    events = lvl1.select("key", F.inline(events_arr))
     # Level 2: one row per (key, point) -- a few per day and key at most.
     points = events.groupBy("key", "point").agg(*[F.sum(c).alias(c) for c in ev_fields[1:]])
     w = Window.partitionBy("key").orderBy("point")

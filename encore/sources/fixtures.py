@@ -137,6 +137,7 @@ def song_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- log
+# Request type names of the client log format.
 SONG_PLAY_TYPE = "MINIK_CLIENT_SONG_PLAY_OPERATE_REQ"
 OTHER_TYPES = {
     "click": "MINIK_CLIENT_ADVERTISEMENT_RECORD",
