@@ -84,6 +84,11 @@ def log_song_play_flatten(spark, d):
     return client_log.song_play(_parsed(spark, d), LOG_DAY)
 
 
+def log_song_play_intended(spark, d):
+    """Intended reading: '&' inside the payload kept, a missing key is NULL."""
+    return client_log.song_play(_parsed(spark, d, "intended"), LOG_DAY, mode="intended")
+
+
 def log_rejects(spark, d):
     return client_log.rejects(_parsed(spark, d))
 
@@ -143,6 +148,11 @@ def song_peak_daily(spark, d):
     return f.select("nbr", "data_dt", "singcnt", "sing7cnt", "sing30cnt", "dtop7singcnt", "dtop30singcnt")
 
 
+def song_features_play_ops(spark, d):
+    """Features counting only song requests (operation type 0)."""
+    return songs.features(_plays(spark, d), _base(spark, d), optrate_types=["0"])
+
+
 def song_rsi(spark, d):
     return rsi.song_rsi(_features(spark, d))
 
@@ -187,6 +197,12 @@ def user_single_login(spark, d):
     return users.single_login(hist, latest_day(fx.logins(spark, d)), days=7)
 
 
+def user_single_login_bounded(spark, d):
+    """Single-login users, returning only their rows inside the window."""
+    hist = _detail_history(spark, d)
+    return users.single_login(hist, latest_day(fx.logins(spark, d)), days=7, bounded=True)
+
+
 # ----------------------------------------------------------------- machines
 def _m(spark, d):
     return fx.machine_sources(spark, d)
@@ -217,6 +233,11 @@ def machine_compact_time(spark, d):
                       FM.compact_time(F.col("sale_time")).alias("sale_time"))
 
 
+def machine_base_info_intended(spark, d):
+    m = _m(spark, d)
+    return machines.base_info(m["mac"], m["loc"], m["admin"], m["store_map"], m["store"], mode="intended")
+
+
 def machine_mac_loc_join(spark, d):
     m = _m(spark, d)
     universe = machines.id_universe(m["mac"], m["loc"], m["admin"])
@@ -245,15 +266,17 @@ def date_window_filter(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
-        log_parse_gate, log_parse_intended, log_request_routing, log_song_play_flatten, log_rejects,
+        log_parse_gate, log_parse_intended, log_request_routing, log_song_play_flatten,
+        log_song_play_intended, log_rejects,
         song_album_name, song_singer_info, song_post_time, song_auth_company, song_product_types,
         song_name_length, song_base_info, song_counts_one_pass, song_features, song_peak_daily,
+        song_features_play_ops,
         song_rsi, song_rsi_top30, singer_rollup, singer_rsi, singer_rsi_top30,
         user_registrations_union, user_login_detail, user_login_mode, user_score_cast,
-        user_single_login,
+        user_single_login, user_single_login_bounded,
         machine_id_universe, machine_location_repair, machine_location_repair_intended,
         machine_province_city, machine_compact_time, machine_mac_loc_join, machine_product_name,
-        machine_base_info,
+        machine_base_info, machine_base_info_intended,
         date_window_filter,
     ]
 }
