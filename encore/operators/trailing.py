@@ -45,7 +45,9 @@ def _stacked(df: DataFrame, key: str, day: str, distinct: Sequence[str]) -> Data
     pairs += [F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("v")) for c in distinct]
     base = df.select(F.col(key).alias("key"), day_number(F.col(day)).alias("dn"),
                      F.array(*pairs).alias("_kv"))
-    return (base.select("key", "dn", F.inline("_kv"))
+    # inline_outer: the array is never empty, and the outer form keeps Catalyst
+    # from adding a "size(array) > 0" filter that evaluates it a second time.
+    return (base.select("key", "dn", F.inline_outer("_kv"))
             .where((F.col("kind") == _COUNT_KIND) | F.col("v").isNotNull()))
 
 
@@ -148,7 +150,7 @@ def _many_days(df, key, day, spans, distinct) -> DataFrame:
     events_arr = F.array(event(F.get(days, 0), F.col("n"), {}))
     for c in reversed(list(distinct)):
         events_arr = F.when(kind == c, value_events(c)).otherwise(events_arr)
-    events = lvl1.select("key", F.inline(events_arr))
+    events = lvl1.select("key", F.inline_outer(events_arr))     # never empty (see _stacked)
     # Level 2: one row per (key, point) -- a few per day and key at most.
     points = events.groupBy("key", "point").agg(*[F.sum(c).alias(c) for c in ev_fields[1:]])
     w = Window.partitionBy("key").orderBy("point")
