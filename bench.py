@@ -2,7 +2,7 @@
 
 Each query is built and fully executed with the ``noop`` sink (every row
 produced, no collect to the driver) after one warm-up pass of the whole set;
-the time covers both.  Prints one
+the time covers both and is the median of $BENCH_RUNS (3) interleaved runs.  Prints one
 JSON line:
 
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...,
@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -88,9 +89,12 @@ def main() -> None:
     qs = registry.queries()
     for name in HEADLINE:           # warm-up: JIT, file listing, parquet footers
         _run(lambda: qs[name](spark, sf_dir))
-    times = {}
-    for name in HEADLINE:
-        times[name] = round(_run(lambda: qs[name](spark, sf_dir)), 3)
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    samples = {name: [] for name in HEADLINE}
+    for _ in range(runs):           # interleaved, so a slow moment hits every query alike
+        for name in HEADLINE:
+            samples[name].append(_run(lambda: qs[name](spark, sf_dir)))
+    times = {name: round(statistics.median(v), 3) for name, v in samples.items()}
     ref = {
         "song_features_grouped_scans": round(_run(lambda: _reference_shape_features(spark, sf_dir)), 3),
         "song_rsi_three_windows": round(_run(lambda: _reference_shape_rank(spark, sf_dir)), 3),

@@ -16,6 +16,18 @@ from .. import schemas
 from ..functions import client_log as L
 
 
+def _once(df: DataFrame, keep: list, name: str, expr) -> DataFrame:
+    """Add ``expr`` as column ``name`` evaluated exactly once per row.
+
+    A filter on a projected alias is pushed below the projection with the
+    alias replaced by its expression, so an expensive value (a split, a JSON
+    parse) would be computed once in the filter and again in the projection.
+    Produced by a one-element ``inline_outer`` instead, the column exists only
+    above the generator and filters on it stay there.
+    """
+    return df.select(*keep, F.inline_outer(F.array(F.struct(expr.alias(name)))))
+
+
 def parse(lines: DataFrame, mode: str = "reference", partitions: int | None = None,
           keep: tuple[str, ...] = ()) -> DataFrame:
     """Split each line on ``&`` and keep records with exactly six fields.
@@ -28,10 +40,9 @@ def parse(lines: DataFrame, mode: str = "reference", partitions: int | None = No
     ``data_dt`` discovered from the landing directory).
     """
     if mode == "reference":
-        parts = L.split_fields(F.col("value"))
-        out = lines.select(parts.alias("_p"), *keep).where(F.size("_p") == L.N_FIELDS)
+        out = _once(lines, list(keep), "_p", L.split_fields(F.col("value"))).where(F.size("_p") == L.N_FIELDS)
     else:
-        out = lines.select(L.strict_fields(F.col("value")).alias("_p"), *keep).where(F.col("_p").isNotNull())
+        out = _once(lines, list(keep), "_p", L.strict_fields(F.col("value"))).where(F.col("_p").isNotNull())
     out = out.select(L.field(F.col("_p"), 2).alias("request_type"),
                      L.field(F.col("_p"), 3).alias("payload"), *keep)
     if partitions:
@@ -42,7 +53,7 @@ def parse(lines: DataFrame, mode: str = "reference", partitions: int | None = No
 def _flat(parsed: DataFrame, include_play_time: bool) -> DataFrame:
     plays = parsed.where(F.col("request_type") == L.SONG_PLAY)
     extra = [c for c in parsed.columns if c not in ("request_type", "payload")]
-    return plays.select("payload", L.parse_payload(F.col("payload"), include_play_time).alias("_j"), *extra)
+    return _once(plays, ["payload", *extra], "_j", L.parse_payload(F.col("payload"), include_play_time))
 
 
 def _is_reject(include_play_time: bool = False):
@@ -94,7 +105,7 @@ def route(parsed: DataFrame, mode: str = "reference", include_play_time: bool =
 
     row = F.concat_ws("\t", *[txt(n) for n in names])
     extra = [c for c in parsed.columns if c not in ("request_type", "payload")]
-    with_j = parsed.select("request_type", "payload", F.when(is_play, j).alias("_j"), *extra)
+    with_j = _once(parsed, ["request_type", "payload", *extra], "_j", F.when(is_play, j))
     bad = is_play & _is_reject()
     return (with_j.where(~bad)
             .select("request_type", F.when(is_play, row).otherwise(F.col("payload")).alias("line"), *extra))
