@@ -23,6 +23,31 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster, sized from the bytes a job reads.
+
+    Shuffle partitions start at input/target, within [2x, 20x] the task
+    slots (the map x reduce block count stays manageable), and AQE coalesces
+    the small ones toward ``target_partition_bytes``; skewed partitions above
+    4x the median are split.  Broadcast stays behind AQE's
+    runtime size check with a fixed ceiling.
+    """
+    slots = executors * cores_per_executor
+    parts = min(20 * slots, max(2 * slots, -(-input_bytes // target_partition_bytes)))
+    return {
+        **{k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql.adaptive")},
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "encore",
                   extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench; sets a scratch checkpoint dir."""

@@ -65,3 +65,14 @@ def test_materialize_uses_checkpoint_dir(spark):
     df = W.materialize(spark.range(10).withColumn("x", F.col("id") * 2))
     assert df.count() == 10 and os.path.isdir(d.replace("file:", ""))
     assert rows(df.where("id < 2")) == [(0, 0), (1, 2)]
+
+
+def test_cluster_conf_sizes_partitions():
+    from encore.session import cluster_conf
+    c = cluster_conf(100 << 40)                     # 100 TB read
+    assert int(c["spark.sql.shuffle.partitions"]) == 20 * 4000        # capped at 20x the slots
+    mid = cluster_conf(4 << 40)
+    assert int(mid["spark.sql.shuffle.partitions"]) == (4 << 40) // (256 << 20)
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
