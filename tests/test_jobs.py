@@ -53,6 +53,11 @@ def test_daily_jobs(spark):
     assert rows(feats.drop("data_dt"), *[c for c in expect.columns if c != "data_dt"]) == \
         rows(expect.drop("data_dt"))
 
+    # re-run one day alone (single-day plan): same rows as the range run
+    before = rows(feats.where(F.col("data_dt") == day))
+    jobs.build_song_features(spark, day, None, t)
+    assert rows(spark.table(t.song_features).where(F.col("data_dt") == day)) == before
+
     url = f"jdbc:derby:memory:jobs{sfx};create=true"
     db = jobs.Jdbc(url, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
     jobs.build_song_rsi(spark, day, t, db)
