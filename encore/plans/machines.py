@@ -23,8 +23,9 @@ def repair_locations(loc: DataFrame, mode: str = "reference") -> DataFrame:
 
     Rows whose address is ``'null'`` or NULL are dropped.  ``reference``: a
     row with exactly one of province/city ``'null'`` is emitted twice, once
-    repaired and once as is (two overlapping filters, unioned).
-    ``intended``: repaired rows win, one row per input row.
+    repaired and once as is (the two overlapping filters, in one pass).
+    ``intended``: repaired rows win, one row per input row.  Both read the
+    location table once.
     """
     addr_ok = F.col("address") != M.NULL_TEXT
     needs = addr_ok & ((F.col("province") == M.NULL_TEXT) | (F.col("city") == M.NULL_TEXT))
@@ -35,10 +36,17 @@ def repair_locations(loc: DataFrame, mode: str = "reference") -> DataFrame:
                 "city": M.city(F.col("address"), F.col("real_address")), **times}
     names = schemas.MAC_LOC.names
     if mode == "reference":
-        a = loc.where(needs).select(*[repaired.get(n, F.col(n)).alias(n) for n in names])
-        b = loc.where(usable).select(*[times.get(n, F.col(n)).alias(n) for n in names])
-        return a.unionByName(b)
-    # One pass: a row is repaired if it needs it, else kept if usable.
+        # The two overlapping filters of the warehouse, in one pass: each row
+        # yields its repaired form if it needs repair and its raw form if it
+        # is usable (both when both hold).  Rows kept by the outer filter
+        # satisfy at least one, so the filtered array is never empty.
+        forms = F.array(
+            F.struct(needs.alias("_keep"), *[repaired.get(n, F.col(n)).alias(n) for n in names]),
+            F.struct(usable.alias("_keep"), *[times.get(n, F.col(n)).alias(n) for n in names]))
+        return (loc.where(needs | usable)
+                .select(F.inline_outer(F.filter(forms, lambda x: x["_keep"])))
+                .drop("_keep"))
+    # One row per input row: repaired if it needs it, else as is when usable.
     fix = F.coalesce(needs, F.lit(False))
     cols = [F.when(fix, repaired[n]).otherwise(F.col(n)).alias(n) if n in ("province", "city")
             else times.get(n, F.col(n)).alias(n) for n in names]
