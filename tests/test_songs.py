@@ -142,3 +142,32 @@ def test_base_info_columns(spark):
     assert b.columns == schemas.SONG_BASE.names
     assert dict(b.dtypes)["prdct_type"] == "array<string>"
     assert dict(b.dtypes)["mac_time"] == "int"
+
+
+def test_trailing_stats_property(spark):
+    """Random small play logs: both plans equal brute force for every day."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    rec = st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from(["u1", "u2", "0", "", None]),
+                    st.sampled_from(["o1", "o2", None]), st.integers(min_value=-45, max_value=0))
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(rec, min_size=1, max_size=40))
+    def check(recs):
+        df = _plays(spark, recs)
+        many = {(r["songid"], r["data_dt"]): r.asDict()
+                for r in trailing_stats(df, "songid", "data_dt", (7, 30), ("uid", "order_id")).collect()}
+        expected = {}
+        for off in {r[3] for r in recs}:
+            for s, e in _brute(recs, off).items():
+                expected[(s, _day(off))] = e
+        assert set(many) == set(expected)
+        for k, e in expected.items():
+            assert {c: many[k][c] for c in e} == e
+        last = max(r[3] for r in recs)
+        one = trailing_stats(df, "songid", "data_dt", (7, 30), ("uid", "order_id"), _day(last), _day(last))
+        for r in one.collect():
+            assert {c: r[c] for c in expected[(r["songid"], r["data_dt"])]} == expected[(r["songid"], r["data_dt"])]
+
+    check()
