@@ -41,12 +41,13 @@ _DIM_COLS = ["name", "source", "album", "prdct", "lang", "video_format", "dur",
 
 def features(plays: DataFrame, base: DataFrame, first_day: str | None = None,
              last_day: str | None = None, peak: str = "total", mode: str = "reference",
-             optrate_types: list[str] | None = None) -> DataFrame:
+             optrate_types: list[str] | None = None, inclusive: bool = True) -> DataFrame:
     """Per song and day with plays: counts, distinct users and distinct orders
     for the day, the 7-day and the 30-day windows, window peaks, joined to the
     song dimension.  One scan of the play log for every day in the range.
 
-    * windows are ``between day-k and day`` (8 and 31 partitions)
+    * windows are ``between day-k and day`` (8 and 31 partitions);
+      ``inclusive=False`` makes them exactly 7 and 30 days
     * ``peak="total"`` stores the window total as the "peak" (warehouse rule);
       ``peak="daily"`` the largest single-day count in the window
     * ``mode="reference"``: a NULL song id, which never matches a join, gets 0
@@ -58,8 +59,9 @@ def features(plays: DataFrame, base: DataFrame, first_day: str | None = None,
         raise ValueError("peak must be 'total' or 'daily'")
     if optrate_types is not None:
         plays = plays.where(F.col("optrate_type").isin(list(optrate_types)))
+    w7, w30 = (7, 30) if inclusive else (6, 29)
     stats = trailing_stats(plays.select("songid", "data_dt", "uid", "order_id"),
-                           key="songid", day="data_dt", spans=(7, 30),
+                           key="songid", day="data_dt", spans=(w7, w30),
                            distinct=("uid", "order_id"), first_day=first_day, last_day=last_day)
     known = F.col("songid").isNotNull() if mode == "reference" else F.lit(True)
 
@@ -67,18 +69,17 @@ def features(plays: DataFrame, base: DataFrame, first_day: str | None = None,
         return F.when(known, F.col(col)).otherwise(F.lit(0)).cast("bigint")
 
     zero = F.lit(0).cast("bigint")
-    top7 = "n_7" if peak == "total" else "peak_7"
-    top30 = "n_30" if peak == "total" else "peak_30"
+    top = "n" if peak == "total" else "peak"
     feats = stats.select(
         F.col("songid").alias("nbr"), "data_dt",
         F.col("n_0").cast("bigint").alias("singcnt"), zero.alias("suppcnt"),
         F.col("d_uid_0").alias("usercnt"), F.col("d_order_id_0").alias("orderidcnt"),
-        windowed("n_7").alias("sing7cnt"), zero.alias("supp7cnt"),
-        windowed("d_uid_7").alias("user7cnt"), windowed("d_order_id_7").alias("orderid7cnt"),
-        windowed("n_30").alias("sing30cnt"), zero.alias("supp30cnt"),
-        windowed("d_uid_30").alias("user30cnt"), windowed("d_order_id_30").alias("orderid30cnt"),
-        windowed(top7).alias("dtop7singcnt"), zero.alias("dtop7suppcnt"),
-        windowed(top30).alias("dtop30singcnt"), zero.alias("dtop30suppcnt"),
+        windowed(f"n_{w7}").alias("sing7cnt"), zero.alias("supp7cnt"),
+        windowed(f"d_uid_{w7}").alias("user7cnt"), windowed(f"d_order_id_{w7}").alias("orderid7cnt"),
+        windowed(f"n_{w30}").alias("sing30cnt"), zero.alias("supp30cnt"),
+        windowed(f"d_uid_{w30}").alias("user30cnt"), windowed(f"d_order_id_{w30}").alias("orderid30cnt"),
+        windowed(f"{top}_{w7}").alias("dtop7singcnt"), zero.alias("dtop7suppcnt"),
+        windowed(f"{top}_{w30}").alias("dtop30singcnt"), zero.alias("dtop30suppcnt"),
     )
     # Left join to the dimension; only the 12 used columns are read.  AQE
     # picks broadcast vs. sort-merge from the real size of either side.

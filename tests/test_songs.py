@@ -171,3 +171,13 @@ def test_trailing_stats_property(spark):
             assert {c: r[c] for c in expected[(r["songid"], r["data_dt"])]} == expected[(r["songid"], r["data_dt"])]
 
     check()
+
+
+def test_features_exact_windows(spark):
+    base = _base(spark)
+    recs = [("1", "u1", "o1", 0), ("1", "u2", "o2", -7), ("1", "u3", "o3", -30), ("1", "u4", "o4", -29)]
+    df = _plays(spark, recs)
+    ref = songs.features(df, base, D, D).first()
+    exact = songs.features(df, base, D, D, inclusive=False).first()
+    assert (ref["sing7cnt"], ref["sing30cnt"]) == (2, 4)
+    assert (exact["sing7cnt"], exact["sing30cnt"], exact["user30cnt"]) == (1, 3, 3)
