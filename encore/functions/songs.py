@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the song dimension (must equal the warehouse's output).
 NO_ALBUM = "暂无专辑"  # "no album" placeholder
-BOOK_OPEN = "《"
-BOOK_CLOSE = "》"
+ALBUM_TITLE = "(?s)(《.*》)"  # first 《 … last 》 (title marks), across lines
 
 _NAME_ID_ARRAY = "array<struct<name:string,id:string>>"
 
@@ -31,7 +30,7 @@ def album_name(s: Column) -> Column:
     《 to the last 》 (inclusive); else the no-album placeholder."""
     arr = _json_array(s)
     first = F.get(arr, 0)
-    bracketed = F.regexp_extract(s, "(?s)(《.*》)", 1)
+    bracketed = F.regexp_extract(s, ALBUM_TITLE, 1)
     fallback = F.when(bracketed != "", bracketed).otherwise(F.lit(NO_ALBUM))
     return F.when(first.isNotNull(), first.getField("name")).otherwise(fallback)
 
