@@ -143,6 +143,14 @@ def song_features(spark, d):
     return _features(spark, d)
 
 
+def song_features_daily(spark, d):
+    """The daily job's own shape: features of the newest day (single-day plan,
+    reading that day's 31-day window of the play log)."""
+    plays = _plays(spark, d)
+    day = latest_day(plays)
+    return songs.features(plays, _base(spark, d), day, day)
+
+
 def song_peak_daily(spark, d):
     f = songs.features(_plays(spark, d), _base(spark, d), peak="daily", mode="intended")
     return f.select("nbr", "data_dt", "singcnt", "sing7cnt", "sing30cnt", "dtop7singcnt", "dtop30singcnt")
@@ -270,7 +278,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         log_song_play_intended, log_rejects,
         song_album_name, song_singer_info, song_post_time, song_auth_company, song_product_types,
         song_name_length, song_base_info, song_counts_one_pass, song_features, song_peak_daily,
-        song_features_play_ops,
+        song_features_play_ops, song_features_daily,
         song_rsi, song_rsi_top30, singer_rollup, singer_rsi, singer_rsi_top30,
         user_registrations_union, user_login_detail, user_login_mode, user_score_cast,
         user_single_login, user_single_login_bounded,
