@@ -120,36 +120,33 @@ def _many_days(df, key, day, spans, distinct) -> DataFrame:
     # Events, one wide row each: the day's count, "value seen here" flags and
     # running-sum deltas per (column, span).  A value seen on day d adds +1 to
     # every span's running sum at d and -1 at min(d+k+1, next day seen); when
-    # the ends of two spans coincide they share one event row.
+    # the ends of two spans coincide they share one event row.  Written as one
+    # SQL expression (one call to build, however many spans and columns).
     dcols = [f"{c}_here" for c in distinct] + [f"{c}_{k}" for c in distinct for k in spans]
     ev_fields = ["point", "n"] + dcols
 
-    def event(point, n, deltas: dict) -> Column:
-        vals = [point.cast("int").alias("point"), n.cast("bigint").alias("n")]
-        for c in dcols:
-            v = deltas.get(c, 0)
-            vals.append((v if isinstance(v, Column) else F.lit(v)).cast("bigint").alias(c))
-        return F.struct(*vals)
-
-    days = F.col("days")
-
-    def value_events(c):
-        def per_day(d, i):
-            nxt = F.get(days, i + 1)
-            ends = {k: F.least(d + (k + 1), F.coalesce(nxt, d + (k + 1))) for k in spans}
-            start = event(d, F.lit(0), {f"{c}_here": 1, **{f"{c}_{k}": 1 for k in spans}})
-            separate = [event(ends[k], F.lit(0), {f"{c}_{k}": -1}) for k in spans]
-            if len(spans) != 2:
-                return F.array(start, *separate)
+    def quoted(c: str) -> str:
+        return "'" + c.replace("'", "''") + "'"
+
+    def event(point: str, n: str, deltas: dict) -> str:
+        parts = [f"'point', CAST({point} AS INT)", f"'n', CAST({n} AS BIGINT)"]
+        parts += [f"{quoted(c)}, CAST({deltas.get(c, 0)} AS BIGINT)" for c in dcols]
+        return f"named_struct({', '.join(parts)})"
+
+    def value_events(c: str) -> str:
+        def end(k):
+            return f"least(_d + {k + 1}, coalesce(get(days, _i + 1), _d + {k + 1}))"
+        start = event("_d", "0", {f"{c}_here": 1, **{f"{c}_{k}": 1 for k in spans}})
+        separate = [event(end(k), "0", {f"{c}_{k}": -1}) for k in spans]
+        body = f"array({start}, {', '.join(separate)})"
+        if len(spans) == 2:
             a, b = spans
-            shared = event(ends[a], F.lit(0), {f"{c}_{a}": -1, f"{c}_{b}": -1})
-            return F.when(ends[a] == ends[b], F.array(start, shared)).otherwise(F.array(start, *separate))
-        return F.flatten(F.transform(days, per_day))
-
-    kind = F.col("kind")
-    events_arr = F.array(event(F.get(days, 0), F.col("n"), {}))
-    for c in reversed(list(distinct)):
-        events_arr = F.when(kind == c, value_events(c)).otherwise(events_arr)
+            shared = event(end(a), "0", {f"{c}_{a}": -1, f"{c}_{b}": -1})
+            body = f"CASE WHEN {end(a)} = {end(b)} THEN array({start}, {shared}) ELSE {body} END"
+        return f"flatten(transform(days, (_d, _i) -> {body}))"
+
+    whens = " ".join(f"WHEN kind = {quoted(c)} THEN {value_events(c)}" for c in distinct)
+    events_arr = F.expr(f"CASE {whens} ELSE array({event('get(days, 0)', 'n', {})}) END")
     events = lvl1.select("key", F.inline_outer(events_arr))     # never empty (see _stacked)
     # Level 2: one row per (key, point) -- a few per day and key at most.
     points = events.groupBy("key", "point").agg(*[F.sum(c).alias(c) for c in ev_fields[1:]])
