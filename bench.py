@@ -85,7 +85,8 @@ def _reference_shape_rank(spark, d):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus), app="encore-bench")
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus), app="encore-bench",
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     qs = registry.queries()
     for name in HEADLINE:           # warm-up: JIT, file listing, parquet footers
         _run(lambda: qs[name](spark, sf_dir))
