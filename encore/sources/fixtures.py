@@ -5,7 +5,11 @@ columns, ``data_dt`` partitions, raw log lines, JSON texts).  They do none of
 the jobs' work: every parse, clean, count, join and rank runs in
 ``encore.plans`` on whatever rows these produce.  Variety (malformed JSON,
 NULLs, ``'null'`` text, duplicate channels) is picked from key residues so
-that each documented edge case occurs in every table size.
+that each documented edge case occurs in every table size.  Where a residue
+decides which source table a key appears in (registration channels, machine
+sources), that models partial overlap between sources -- a user in no
+channel, a machine without location -- not sampling: every row of the test
+table feeds at least one source, and the jobs read all of them.
 
 Mapping (all ids cast to string):
 
