@@ -105,7 +105,7 @@ def build_song_features(spark: SparkSession, first_day: str, last_day: str | Non
 def build_song_rsi(spark: SparkSession, data_dt: str, t: Tables = Tables(), jdbc: Jdbc | None = None,
                    top: int = 30, jdbc_table: str = "tm_song_rsi") -> None:
     feats = read_range(read_table(spark, t.song_features), data_dt, data_dt)
-    W.overwrite_partition(rsi.song_rsi(feats), t.song_rsi)
+    W.overwrite_partition(rsi.song_rsi(feats, staged=True), t.song_rsi)     # a table read: deterministic
     if jdbc is not None:
         written = read_range(read_table(spark, t.song_rsi), data_dt, data_dt)
         out = rsi.top_n(written, top).select("data_dt", "period", "nbr", "name", "rsi", "rsi_rank")

@@ -40,16 +40,17 @@ def _song_order():
 
 
 def song_rsi(features: DataFrame, data_dt: str | None = None,
-             max_group_rows: int = 5_000_000) -> DataFrame:
+             max_group_rows: int = 5_000_000, staged: bool = False) -> DataFrame:
     """Rank songs by RSI per day and period (``row_number``, 1 = highest).
 
-    The scores are materialised once; a (day, period) group above
+    The scores are materialised once (``staged=True``: ``features`` is a
+    table read already, skip that); a (day, period) group above
     ``max_group_rows`` songs is ranked by the distributed sort.
     """
     if data_dt is not None:
         features = features.where(F.col("data_dt") == F.lit(data_dt))
     ranked = row_number(song_scores(features), ["data_dt", "period"], _song_order(), "rsi_rank",
-                        max_group_rows)
+                        max_group_rows, staged)
     return ranked.select(*schemas.SONG_RSI.names)
 
 
@@ -103,7 +104,11 @@ def _singer_order():
 
 def singer_rsi(features: DataFrame, data_dt: str | None = None,
                max_group_rows: int = 5_000_000) -> DataFrame:
-    """Roll songs up to first singers, score and rank per day and period."""
+    """Roll songs up to first singers, score and rank per day and period.
+
+    The roll-up is an aggregation, so its output is always staged once
+    before ranking.
+    """
     scores = singer_scores(singer_rollup(features, data_dt))
     ranked = row_number(scores, ["data_dt", "period"], _singer_order(), "rsi_rank", max_group_rows)
     return ranked.select(*schemas.SINGER_RSI.names)
