@@ -24,12 +24,17 @@ from . import client_log, machines, rsi, songs, users
 
 @dataclass
 class Jdbc:
-    """Connection settings for a publication target (supplied by the caller)."""
+    """Connection settings for a publication target (supplied by the caller).
+
+    ``max_connections`` caps concurrent writers (Spark coalesces the write to
+    that many partitions), so a wide cluster does not flood the database.
+    """
     url: str
     properties: dict = field(default_factory=dict)
+    max_connections: int = 8
 
     def publish(self, df: DataFrame, table: str, mode: str) -> None:
-        W.publish_jdbc(df, self.url, table, mode, self.properties)
+        W.publish_jdbc(df, self.url, table, mode, self.properties, num_partitions=self.max_connections)
 
 
 @dataclass
