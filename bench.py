@@ -24,6 +24,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from encore import registry  # noqa: E402
@@ -74,11 +75,9 @@ def _reference_shape_rank(spark, d):
     from encore.plans import rsi
     scored = rsi.song_scores(registry._features(spark, d))
     parts = []
+    w = Window.partitionBy("data_dt").orderBy(F.col("rsi").desc(), F.col("nbr"))
     for p in ("1", "7", "30"):
-        w = F.row_number().over(
-            __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("data_dt")
-            .orderBy(F.col("rsi").desc(), F.col("nbr")))
-        parts.append(scored.where(F.col("period") == p).withColumn("rsi_rank", w))
+        parts.append(scored.where(F.col("period") == p).withColumn("rsi_rank", F.row_number().over(w)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
