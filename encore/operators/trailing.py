@@ -149,10 +149,15 @@ def _many_days(df, key, day, spans, distinct) -> DataFrame:
     events_arr = F.expr(f"CASE {whens} ELSE array({event('get(days, 0)', 'n', {})}) END")
     events = lvl1.select("key", F.inline_outer(events_arr))     # never empty (see _stacked)
     # Level 2: one row per (key, point) -- a few per day and key at most.
-    points = events.groupBy("key", "point").agg(*[F.sum(c).alias(c) for c in ev_fields[1:]])
-    w = Window.partitionBy("key").orderBy("point")
+    points = (events.groupBy("key", "point").agg(*[F.sum(c).alias(c) for c in ev_fields[1:]])
+              .withColumnRenamed("key", key))
+    # Partition the window by the output key column itself, so the result is
+    # known to be hash-partitioned by it: a later join or aggregation on the
+    # key (the song dimension join) reuses that partitioning instead of
+    # shuffling the features again.
+    w = Window.partitionBy(key).orderBy("point")
     running = w.rangeBetween(Window.unboundedPreceding, 0)
-    cols = [F.col("key").alias(key), day_string(F.col("point")).alias(day), F.col("n").alias("n_0")]
+    cols = [F.col(key), day_string(F.col("point")).alias(day), F.col("n").alias("n_0")]
     cols += [F.sum("n").over(w.rangeBetween(-k, 0)).alias(f"n_{k}") for k in spans]
     cols += [F.max("n").over(w.rangeBetween(-k, 0)).alias(f"peak_{k}") for k in spans]
     for c in distinct:
