@@ -73,8 +73,8 @@ def base_info(mac: DataFrame, loc: DataFrame, admin: DataFrame, store_map: DataF
               store: DataFrame, mode: str = "reference") -> DataFrame:
     """The 30-column machine dimension.
 
-    Inner chain: admin ⋈ store map ⋈ store ⋈ (location ⋈ info), on machine
-    and store ids.  (The warehouse also joins the id universe, which only
+    Inner chain: admin ⋈ store map ⋈ (location ⋈ info) on the machine id,
+    then ⋈ store on the store id.  (The warehouse also joins the id universe, which only
     removes NULL ids -- see :func:`mac_with_location`.)  AQE chooses
     broadcast for whichever side is small at run time, sort-merge otherwise,
     and splits a hot store id on the large side.
@@ -86,6 +86,7 @@ def base_info(mac: DataFrame, loc: DataFrame, admin: DataFrame, store_map: DataF
     h = ycak.select("mid", "hard_id", "song_warehouse_version", "exec_version", "ui_version",
                     "revenue_time", "sale_time", "province", "city", "address", "real_address",
                     "current_login_time")
-    j = adm.join(smap, "mid").join(st, "store_id").join(h, "mid")
+    # Both joins on the machine id first (one partitioning), the store last.
+    j = adm.join(smap, "mid").join(h, "mid").join(st, "store_id")
     j = j.withColumn("product_name", M.product_name(F.col("product_type")))
     return j.select(*schemas.MACHINE_BASE.names)
