@@ -28,9 +28,16 @@ def _ddl(schema: T.StructType, partition_col: str | None) -> str:
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType,
-                 partition_col: str | None = "data_dt", location: str | None = None) -> None:
-    """``CREATE TABLE IF NOT EXISTS … USING parquet [PARTITIONED BY] [LOCATION]``."""
-    sql = f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema, partition_col)}) USING parquet"
+                 partition_col: str | None = "data_dt", location: str | None = None,
+                 fmt: str = "parquet", options: dict | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS … USING <fmt> [OPTIONS] [PARTITIONED BY] [LOCATION]``.
+
+    Parquet by default; ``fmt="csv", options={"sep": "\\t"}`` gives the
+    tab-separated text layout of a raw (ODS) table.
+    """
+    sql = f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema, partition_col)}) USING {fmt}"
+    if options:
+        sql += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
     if partition_col:
         sql += f" PARTITIONED BY (`{partition_col}`)"
     if location:

@@ -76,3 +76,15 @@ def test_cluster_conf_sizes_partitions():
     assert c["spark.sql.adaptive.enabled"] == "true"
     small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_tab_separated_text_table(spark):
+    name = f"t_tsv_{uuid.uuid4().hex[:8]}"
+    loc = tempfile.mkdtemp(prefix="encore-tsv-")
+    W.create_table(spark, name, schemas.SONG_PLAY, location=loc, fmt="csv", options={"sep": "\t"})
+    df = spark.createDataFrame([("s1", "m", "0", "u", "0", "1", "2", "n", "p", "o", "20201230")], schemas.SONG_PLAY)
+    W.overwrite_partition(df, name)
+    assert rows(spark.table(name)) == rows(df.select(*spark.table(name).columns))
+    files = [f for d, _, fs in os.walk(loc) for f in fs if f.endswith(".csv")]
+    line = open(os.path.join(loc, "data_dt=20201230", files[0])).read().strip()
+    assert line == "s1\tm\t0\tu\t0\t1\t2\tn\tp\to"
