@@ -93,7 +93,9 @@ def rejects(parsed: DataFrame) -> DataFrame:
 def route(parsed: DataFrame, mode: str = "reference", include_play_time: bool = False) -> DataFrame:
     """(request_type, line): song plays as a tab-joined row, others unchanged.
 
-    Rejected song-play payloads are left out (see :func:`rejects`).
+    A missing key is the text ``null`` (``reference``) or an empty field
+    (``intended``; never dropped, so the columns stay aligned).  Rejected
+    song-play payloads are left out (see :func:`rejects`).
     """
     names = _field_names(include_play_time)
     j = L.parse_payload(F.col("payload"), include_play_time)

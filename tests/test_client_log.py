@@ -89,3 +89,11 @@ def test_write_by_key(spark):
     assert dirs == ["request_type=MINIK_CLIENT_REPORT_PKG_USE_STATUS", f"request_type={SONG}"]
     back = spark.read.text(os.path.join(out, f"request_type={SONG}"))
     assert back.count() == 2 and "request_type" not in back.columns
+
+
+def test_route_intended_keeps_columns_aligned(spark):
+    p = CL.parse(_lines(spark, [LINES[5]]), mode="intended")
+    line = CL.route(p, mode="intended").first()["line"]
+    assert line.split("\t") == ["x1", "1", "", "", "", "", "", "", "", ""]
+    ref = CL.route(CL.parse(_lines(spark, [LINES[5]]))).first()["line"]
+    assert ref.split("\t") == ["x1", "1"] + ["null"] * 8
