@@ -51,7 +51,8 @@ def overwrite_partition(df: DataFrame, table: str, data_dt: str | None = None,
     leaving every other day of ``table`` untouched.
 
     Uses dynamic partition overwrite through the session setting -- the
-    writer option of that name is ignored by ``insertInto``.
+    writer option of that name is ignored by ``insertInto`` -- and restores
+    the previous value afterwards (run one write at a time per session).
     """
     spark = df.sparkSession
     if data_dt is not None:

@@ -33,7 +33,11 @@ def start_song_play_stream(spark: SparkSession, landing_dir: str, table_dir: str
                            checkpoint: str | None = None, mode: str = "reference",
                            available_now: bool = True, max_files: int | None = None,
                            partitions: int | None = None) -> StreamingQuery:
-    """Stream new log files into the song-play table (parquet, by ``data_dt``)."""
+    """Stream new log files into the song-play table (parquet, by ``data_dt``).
+
+    Point ``table_dir`` at the table's location; new day directories become
+    visible to catalog readers after ``sinks.tables.recover_partitions``.
+    """
     parsed = client_log.parse(_lines(spark, landing_dir, max_files), mode, partitions, keep=("data_dt",))
     plays = client_log.song_play(parsed, None, mode)
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/song_play_stream"
