@@ -88,3 +88,8 @@ def test_tab_separated_text_table(spark):
     files = [f for d, _, fs in os.walk(loc) for f in fs if f.endswith(".csv")]
     line = open(os.path.join(loc, "data_dt=20201230", files[0])).read().strip()
     assert line == "s1\tm\t0\tu\t0\t1\t2\tn\tp\to"
+
+
+def test_materialize_checkpoint_mode(spark):
+    df = W.materialize(spark.range(5).withColumn("y", F.col("id") + 1), how="checkpoint")
+    assert rows(df) == [(i, i + 1) for i in range(5)]
