@@ -69,18 +69,22 @@ def latest_day(df: DataFrame, col: str = "data_dt") -> str:
 
 # ----------------------------------------------------------------- client log
 def log_parse_gate(spark, d):
+    """Raw log lines -> (request_type, payload) for six-field records."""
     return _parsed(spark, d)
 
 
 def log_parse_intended(spark, d):
+    """Same gate, payloads may contain '&'."""
     return _parsed(spark, d, "intended")
 
 
 def log_request_routing(spark, d):
+    """Routed text: song plays as tab-joined rows, other types unchanged."""
     return client_log.route(_parsed(spark, d))
 
 
 def log_song_play_flatten(spark, d):
+    """Song-play records as the ten-column day table ('null' for missing keys)."""
     return client_log.song_play(_parsed(spark, d), LOG_DAY)
 
 
@@ -90,16 +94,19 @@ def log_song_play_intended(spark, d):
 
 
 def log_rejects(spark, d):
+    """Song-play records whose payload is not a JSON object."""
     return client_log.rejects(_parsed(spark, d))
 
 
 # ----------------------------------------------------------------- songs
 def song_album_name(spark, d):
+    """Album cleaning of every raw song."""
     s = fx.song_info(spark, d)
     return s.select("nbr", FS.album_name(F.col("album")).alias("album"))
 
 
 def song_singer_info(spark, d):
+    """First and second singer name/id of every raw song."""
     s = fx.song_info(spark, d)
     si = F.col("singer_info")
     return s.select("nbr", FS.singer_info(si, 1, "name").alias("singer1"),
@@ -109,37 +116,44 @@ def song_singer_info(spark, d):
 
 
 def song_post_time(spark, d):
+    """Post time normalisation of every raw song (UTC)."""
     s = fx.song_info(spark, d)
     return s.select("nbr", FS.post_time(F.col("post_time"), "UTC").alias("post_time"))
 
 
 def song_auth_company(spark, d):
+    """Licensing company, warehouse and intended readings."""
     s = fx.song_info(spark, d)
     return s.select("nbr", FS.auth_company(F.col("auth_co")).alias("auth_co"),
                     FS.auth_company(F.col("auth_co"), "intended").alias("auth_co_intended"))
 
 
 def song_product_types(spark, d):
+    """Product types stripped of brackets, and as an array."""
     s = fx.song_info(spark, d)
     pt = FS.product_types(F.col("prdct_type"))
     return s.select("nbr", pt.alias("product_types"), FS.product_type_array(pt).alias("prdct_type"))
 
 
 def song_name_length(spark, d):
+    """Character length of every raw song name."""
     s = fx.song_info(spark, d)
     return s.select("nbr", FS.text_length(F.col("name")).alias("name_len"))
 
 
 def song_base_info(spark, d):
+    """The 43-column song dimension."""
     return _base(spark, d)
 
 
 def song_counts_one_pass(spark, d):
+    """Trailing 1/8/31-day counts, peaks and distinct users/orders for every song and day."""
     from .operators.trailing import trailing_stats
     return trailing_stats(_plays(spark, d), "songid", "data_dt", (7, 30), ("uid", "order_id"))
 
 
 def song_features(spark, d):
+    """Song features for every day with plays, joined to the song dimension."""
     return _features(spark, d)
 
 
@@ -152,6 +166,7 @@ def song_features_daily(spark, d):
 
 
 def song_peak_daily(spark, d):
+    """Intended reading: daily peaks and real counts for a NULL song id."""
     f = songs.features(_plays(spark, d), _base(spark, d), peak="daily", mode="intended")
     return f.select("nbr", "data_dt", "singcnt", "sing7cnt", "sing30cnt", "dtop7singcnt", "dtop30singcnt")
 
@@ -162,45 +177,55 @@ def song_features_play_ops(spark, d):
 
 
 def song_rsi(spark, d):
+    """Song RSI ranked per day and period (all songs)."""
     return rsi.song_rsi(_features(spark, d))
 
 
 def song_rsi_top30(spark, d):
+    """Top 30 songs per day and period."""
     return rsi.song_rsi_top(_features(spark, d), 30)
 
 
 def singer_rollup(spark, d):
+    """Song measures summed per day and first singer."""
     return rsi.singer_rollup(_features(spark, d))
 
 
 def singer_rsi(spark, d):
+    """Singer RSI ranked per day and period."""
     return rsi.singer_rsi(_features(spark, d))
 
 
 def singer_rsi_top30(spark, d):
+    """Top 30 singers per day and period."""
     return rsi.singer_rsi_top(_features(spark, d), 30)
 
 
 # ----------------------------------------------------------------- users
 def user_registrations_union(spark, d):
+    """The four registration channels in one layout."""
     return _regs(spark, d)
 
 
 def user_login_detail(spark, d):
+    """Every login with its registrations (all days)."""
     return _detail_history(spark, d)
 
 
 def user_login_mode(spark, d):
+    """Login mode of every login."""
     lg = fx.logins(spark, d)
     return lg.select("id", "mode_type", FU.login_mode(F.col("mode_type")).alias("login_mode"))
 
 
 def user_score_cast(spark, d):
+    """Lenient integer reading of every registration score."""
     r = _regs(spark, d)
     return r.select("uid", "reg_channel", "score", FU.score_int(F.col("score")).alias("score_int"))
 
 
 def user_single_login(spark, d):
+    """Whole history of users with exactly one login in the 8 days up to the newest day."""
     hist = _detail_history(spark, d)
     return users.single_login(hist, latest_day(fx.logins(spark, d)), days=7)
 
@@ -217,54 +242,64 @@ def _m(spark, d):
 
 
 def machine_id_universe(spark, d):
+    """Distinct machine ids of the three machine sources."""
     m = _m(spark, d)
     return machines.id_universe(m["mac"], m["loc"], m["admin"])
 
 
 def machine_location_repair(spark, d):
+    """Location rows repaired as the warehouse does (half-'null' rows twice)."""
     return machines.repair_locations(_m(spark, d)["loc"])
 
 
 def machine_location_repair_intended(spark, d):
+    """Location rows, repaired rows winning (one each)."""
     return machines.repair_locations(_m(spark, d)["loc"], mode="intended")
 
 
 def machine_province_city(spark, d):
+    """Province and city of every location address."""
     loc = _m(spark, d)["loc"]
     return loc.select("mid", FM.province(F.col("address")).alias("province"),
                       FM.city(F.col("address"), F.col("real_address")).alias("city"))
 
 
 def machine_compact_time(spark, d):
+    """Compact revenue/sale times of every location."""
     loc = _m(spark, d)["loc"]
     return loc.select("mid", FM.compact_time(F.col("revenue_time")).alias("revenue_time"),
                       FM.compact_time(F.col("sale_time")).alias("sale_time"))
 
 
 def machine_base_info_intended(spark, d):
+    """Machine dimension built on the intended location repair."""
     m = _m(spark, d)
     return machines.base_info(m["mac"], m["loc"], m["admin"], m["store_map"], m["store"], mode="intended")
 
 
 def machine_mac_loc_join(spark, d):
+    """Id universe x repaired locations x machine info (24 columns)."""
     m = _m(spark, d)
     universe = machines.id_universe(m["mac"], m["loc"], m["admin"])
     return machines.mac_with_location(machines.repair_locations(m["loc"]), m["mac"], universe)
 
 
 def machine_product_name(spark, d):
+    """Product name of every admin row."""
     adm = _m(spark, d)["admin"]
     return adm.select("machine_num", "product_type",
                       FM.product_name(F.col("product_type")).alias("product_name"))
 
 
 def machine_base_info(spark, d):
+    """The 30-column machine dimension."""
     m = _m(spark, d)
     return machines.base_info(m["mac"], m["loc"], m["admin"], m["store_map"], m["store"])
 
 
 # ----------------------------------------------------------------- misc
 def date_window_filter(spark, d):
+    """Plays in the 31 day partitions up to the newest day (inclusive range read)."""
     from .functions.dates import window_bounds
     from .sources.tables import read_range
     p = _plays(spark, d)
