@@ -143,3 +143,11 @@ def test_sql_functions_match_columns(spark):
                     U.login_mode(F.col("x")), U.score_int(F.col("x"))).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in exp]
     assert spark.sql("SELECT day_minus('20201230', 30)").first()[0] == "20201130"
+
+
+def test_post_time_never_fails(spark):
+    vals = ["2013-10-99999999 00:00:00", "99999-99-99 99:99:99", "2013-10-31 00:00:99999999999", "1e30",
+            "-1.5E+12", "99999999999999999999999", "0000-00-00 00:00:00"]
+    got = _eval(spark, vals, lambda c: S.post_time(c, "UTC"))
+    assert len(got) == len(vals) and all(isinstance(g, str) for g in got)
+    assert got[4] == "1922-06-20 21:20:00" and got[5] == ""
