@@ -32,7 +32,7 @@ from encore.session import local_session  # noqa: E402
 from encore.sources import fixtures as fx  # noqa: E402
 
 HEADLINE = [
-    "log_request_routing", "log_song_play_flatten", "song_base_info", "song_features",
+    "log_request_routing", "log_song_play_flatten", "song_base_info", "song_features", "song_features_daily",
     "song_rsi", "song_rsi_top30", "singer_rsi", "user_login_detail", "user_single_login",
     "machine_base_info",
 ]
