@@ -70,12 +70,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names it (a shared file system path every executor can reach);
-    only when it is unset -- a local test session made elsewhere -- do we take a
-    fresh scratch folder of our own.
+    only when it is unset on a local-mode session (tests) do we take a fresh
+    scratch folder of our own -- on a cluster an unset value is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(a machine-local folder does not survive a lost executor)")
         d = tempfile.mkdtemp(prefix="encore-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
