@@ -1 +1 @@
-"""functions."""
+"""Column -> Column functions: parsers, cleaners, RSI formulas, day arithmetic."""

@@ -1 +1 @@
-"""sinks."""
+"""Writers: key-multiplexed text, day-partitioned tables, JDBC, lineage cuts."""

@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming variant of the client-log ingest."""
