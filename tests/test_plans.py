@@ -45,3 +45,18 @@ def test_scans_read_only_used_columns(plans):
     # the play log needs 5 of lineitem's 11 columns
     scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*lineitem\.parquet", plans["song_features"])
     assert scans and all(len(cols.split(",")) == 5 for cols in scans)
+
+
+def test_features_join_reuses_song_partitioning(spark):
+    """Without broadcast, only the dimension is shuffled for the join."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = _plan(E.queries()["song_features"](spark, SF_SMALL))
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" in p
+    assert len(re.findall(r"Exchange hashpartitioning\(nbr#", p)) == 1
