@@ -60,3 +60,13 @@ def test_features_join_reuses_song_partitioning(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "SortMergeJoin" in p
     assert len(re.findall(r"Exchange hashpartitioning\(nbr#", p)) == 1
+
+
+def test_large_groups_are_not_ranked_in_one_window(spark):
+    from encore import registry
+    from encore.plans import rsi
+    feats = registry.QUERIES["song_features"](spark, SF_SMALL)
+    forced = _plan(rsi.song_rsi(feats, max_group_rows=1))       # every group "too large"
+    assert "rangepartitioning" in forced and "row_number()" not in forced
+    default = _plan(rsi.song_rsi(feats))
+    assert "row_number()" in default
