@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count
+from . import bpe_count, packing, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,21 @@ def op9_token_counts(spark, sf_dir):
     return bpe_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_token_store(spark, sf_dir):
+    """Every document's ids written to a token store and read back through its index."""
+    store = token_store.write_store(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
+    found = token_store.lookup(store, store.records.select("doc_id", "j", "k"))
+    return token_store.crc32s(token_store.read_documents(store, found))
+
+
+def op10_best_fit_packing(spark, sf_dir):
+    """Every document packed into sequences of at most 2048 tokens."""
+    return packing.packed_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                                    end_id=0, max_len=2048)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op9_token_counts,)}
+    return {f.__name__: f for f in (op7_token_store, op9_token_counts, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
