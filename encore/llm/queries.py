@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, packing, token_store
+from . import bpe_count, chat, importance, packing, simhash, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,25 @@ def op9_token_counts(spark, sf_dir):
     return bpe_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _trusted(spark, sf_dir):
+    return _table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+
+
+def op1_simhash(spark, sf_dir):
+    """SimHash fingerprint and component of every document: 3-word shingles, links at 3 bits."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def op4_quality_rules(spark, sf_dir):
+    """Counted rules and importance score of every document."""
+    return importance.quality(_table(spark, sf_dir, "documents"), _trusted(spark, sf_dir))
+
+
+def op6_chat_collapse(spark, sf_dir):
+    """Maximal logged conversations, rendered."""
+    return chat.maximal_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op7_token_store(spark, sf_dir):
     """Every document's ids written to a token store and read back through its index."""
     store = token_store.write_store(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
@@ -31,8 +50,8 @@ def op10_best_fit_packing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_token_store, op9_token_counts, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_simhash, op4_quality_rules, op6_chat_collapse, op7_token_store, op9_token_counts, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_chat_collapse": chat.SQL}
