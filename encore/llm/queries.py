@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, chat, importance, packing, simhash, token_store
+from . import bpe_count, chat, importance, packing, paragraphs, simhash, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op4_quality_rules(spark, sf_dir):
     return importance.quality(_table(spark, sf_dir, "documents"), _trusted(spark, sf_dir))
 
 
+def op5_paragraph_dedup(spark, sf_dir):
+    """Every paragraph that repeats across or within documents, and the occurrence that stays."""
+    return paragraphs.repeated_paragraphs(_table(spark, sf_dir, "documents"))
+
+
 def op6_chat_collapse(spark, sf_dir):
     """Maximal logged conversations, rendered."""
     return chat.maximal_conversations(_table(spark, sf_dir, "conversations"))
@@ -50,7 +55,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op4_quality_rules, op6_chat_collapse, op7_token_store, op9_token_counts, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_simhash, op4_quality_rules, op5_paragraph_dedup, op6_chat_collapse, op7_token_store, op9_token_counts, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
