@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count, chat, importance, packing, paragraphs, simhash, token_store
+from . import bm25, bpe_count, chat, importance, packing, paragraphs, simhash, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_decontamination(spark, sf_dir):
+    """Every document and the test items found in it."""
+    return bm25.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark, sf_dir):
     """Byte-level BPE token count of every document."""
     return bpe_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -55,7 +60,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op4_quality_rules, op5_paragraph_dedup, op6_chat_collapse, op7_token_store, op9_token_counts, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_simhash, op4_quality_rules, op5_paragraph_dedup, op6_chat_collapse, op7_token_store, op8_decontamination, op9_token_counts, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
