@@ -51,8 +51,9 @@ def per_worker(key, load):
 def word_encoder(tokenizer_json: str):
     """bytes of a whitespace-free chunk -> its ids as little-endian uint32 bytes, remembered per worker.
 
-    The tokenizers this serves drop whitespace and never merge across it, so a
-    text's ids are its chunks' ids joined (tested against whole-text encoding).
+    The tokenizers this serves (lower-casing, cutting at whitespace and between
+    letters and punctuation) never merge across a chunk's ends, so a text's ids
+    are its chunks' ids joined (tested against whole-text encoding).
     """
     def load():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,14 +62,20 @@ def word_encoder(tokenizer_json: str):
         tok = Tokenizer.from_str(tokenizer_json)
 
         def encode(chunk: bytes) -> bytes:
+            if chunk[-1] in b".," and chunk[-2:-1].isalnum():  # a mark after a letter or digit is a token of its own
+                return chunks[chunk[:-1]] + chunks[chunk[-1:]]
             return np.array(tok.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        return Cached(encode)
+        chunks = Cached(encode)
+        return chunks
     return per_worker(("encoder", hash(tokenizer_json)), load)
 
 
 def encode_ids(chunks: Cached, text: bytes) -> bytes:
-    """Ids of a whole text as little-endian uint32 bytes."""
-    return b"".join([chunks[w] for w in text.split()])
+    """Ids of a whole text as little-endian uint32 bytes.
+
+    The tokenizer lower-cases all but its special tokens, so A-Z are folded first where none can occur.
+    """
+    return b"".join([chunks[w] for w in (text if b"<|" in text else text.lower()).split()])
 
 
 def read_file(path: str) -> str:
