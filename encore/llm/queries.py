@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bm25, bpe_count, chat, importance, lattice, packing, paragraphs, simhash, token_store
+from . import bm25, bpe_count, chat, importance, kneser_ney, lattice, packing, paragraphs, simhash, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op2_kneser_ney_quality(spark, sf_dir):
+    """Perplexity of every document under trusted text, against its language's quantile."""
+    return kneser_ney.quality(_table(spark, sf_dir, "documents"), _trusted(spark, sf_dir))
+
+
 def op3_lattice_scores(spark, sf_dir):
     """Marginal log10 probability of every document over the segmentations into 32k pieces, with add-one word scores."""
     return lattice.scores(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -65,7 +70,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op3_lattice_scores, op4_quality_rules, op5_paragraph_dedup, op6_chat_collapse, op7_token_store, op8_decontamination, op9_token_counts, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_simhash, op2_kneser_ney_quality, op3_lattice_scores, op4_quality_rules, op5_paragraph_dedup, op6_chat_collapse, op7_token_store, op8_decontamination, op9_token_counts, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
