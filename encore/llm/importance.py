@@ -117,3 +117,12 @@ def quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, b
     ratios = log_ratios(src, trusted, buckets, max_trusted)
     scored = base_rules(src).withColumn("llr", score(F.col("text"), ratios)).drop("text")
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+
+
+def kept_documents(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
+                   max_trusted: int = TRUSTED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`quality` keeps; the text is read in place, nothing is joined."""
+    ratios = log_ratios(tx.id_text(docs, id_col, text_col), trusted, buckets, max_trusted)
+    text = F.coalesce(tx.col(text_col), F.lit(""))
+    fair = _let(words(text), lambda ws: (F.size(ws) >= 20) & (100 * repeated_words(ws) <= 30 * F.size(ws)))
+    return docs.where(fair & (score(text, ratios) >= threshold))

@@ -150,3 +150,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     ids = placed.join(named, "root").select("fp", "component_id")
     return marked.join(ids, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, less all documents of a component but that of the smallest id.
+
+    Rows equal in id and text count as one document.  Rows without an id
+    cannot be named and stay.
+    """
+    key = "__encore_kept"
+    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    named = docs.join(kept, tx.col(id_col) == F.col(key), "left_semi").dropDuplicates([id_col, text_col])
+    return named.union(docs.where(tx.col(id_col).isNull()))
