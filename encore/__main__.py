@@ -38,10 +38,26 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-driver")
     p.add_argument("--jdbc-user", default=os.environ.get("ENCORE_JDBC_USER"))
     p.add_argument("--jdbc-password", default=os.environ.get("ENCORE_JDBC_PASSWORD"))
+    p.add_argument("--tz", default="UTC", help="time zone of post times (song-base)")
+    p.add_argument("--peak", default="total", choices=["total", "daily"], help="window peak (song-features)")
+    p.add_argument("--append", action="store_true", help="add to the day instead of replacing it (client-log)")
     p.add_argument("--input-bytes", type=int, help="bytes the job reads; sizes shuffle partitions")
+    p.add_argument("--executors", type=int, default=1000, help="executors of the cluster (with --input-bytes)")
+    p.add_argument("--cores", type=int, default=4, help="cores of an executor (with --input-bytes)")
     return p
 
 
+#: Switches and the commands they act on; elsewhere they are refused.
+SWITCHES = {"mode": ("client-log", "machine-base"), "tz": ("song-base",), "peak": ("song-features",),
+            "append": ("client-log",), "to": ("song-features",)}
+
+
+def _refuse_idle(parser: argparse.ArgumentParser, a) -> None:
+    for name, commands in SWITCHES.items():
+        if getattr(a, name) != parser.get_default(name) and a.command not in commands:
+            parser.error(f"--{name} has no effect on {a.command}")
+
+
 def _tables(database: str | None) -> jobs.Tables:
     t = jobs.Tables()
     if not database:
@@ -58,20 +74,22 @@ def _jdbc(a) -> jobs.Jdbc | None:
 
 
 def main(argv: list[str] | None = None) -> None:
-    a = _parser().parse_args(argv)
+    parser = _parser()
+    a = parser.parse_args(argv)
+    _refuse_idle(parser, a)
     spark = SparkSession.builder.appName(f"encore-{a.command}").getOrCreate()
     if a.input_bytes:
-        for k, v in cluster_conf(a.input_bytes).items():
+        for k, v in cluster_conf(a.input_bytes, a.executors, a.cores).items():
             spark.conf.set(k, v)
     t, db = _tables(a.database), _jdbc(a)
     if a.command == "create-warehouse":
         jobs.create_warehouse(spark, t, a.location)
     elif a.command == "client-log":
-        jobs.ingest_client_log(spark, a.log_path, a.day, a.routed_dir, t, mode=a.mode)
+        jobs.ingest_client_log(spark, a.log_path, a.day, a.routed_dir, t, append=a.append, mode=a.mode)
     elif a.command == "song-base":
-        jobs.build_song_base(spark, t)
+        jobs.build_song_base(spark, t, a.tz)
     elif a.command == "song-features":
-        jobs.build_song_features(spark, a.day, a.to, t)
+        jobs.build_song_features(spark, a.day, a.to, t, peak=a.peak)
     elif a.command == "song-rsi":
         jobs.build_song_rsi(spark, a.day, t, db)
     elif a.command == "singer-rsi":

@@ -21,6 +21,12 @@ def day_minus(day: str, n: int) -> str:
     return d.strftime(DAY_FMT)
 
 
+def day_range(first: str, last: str) -> list[str]:
+    """All days from ``first`` to ``last``, both included."""
+    n = (_dt.datetime.strptime(last, DAY_FMT) - _dt.datetime.strptime(first, DAY_FMT)).days
+    return [day_minus(last, k) for k in range(n, -1, -1)]
+
+
 def window_bounds(day: str, n: int, inclusive: bool = True) -> tuple[str, str]:
     """(low, high) day strings of an ``n``-day window ending on ``day``.
 

@@ -1,6 +1,6 @@
 """Reusable relational operators: trailing-window statistics and ranking."""
 
-from .ranking import row_number, row_number_sorted, row_number_window, top_n
+from .ranking import row_number, row_number_window, top_n
 from .trailing import trailing_stats
 
-__all__ = ["trailing_stats", "row_number", "row_number_sorted", "row_number_window", "top_n"]
+__all__ = ["trailing_stats", "row_number", "row_number_window", "top_n"]

@@ -1,16 +1,12 @@
 """Ranking and top-n.
 
-``row_number_sorted``  ``row_number()`` per group computed from one global
-    range-partitioned sort: a single group (all songs of one day and period)
-    is spread across as many tasks as the sort has partitions, instead of
-    landing in one window task.  Each task numbers its rows; the per
-    (partition, group) row counts -- at most one row per partition boundary
-    and group -- give every partition its starting offset.
-
-``row_number``  the entry point: materialises the input once, measures the
-    largest group and takes the plain window when that group is within a
-    proven size (``max_group_rows``), the sorted plan otherwise -- the same
-    kind of size check that guards a broadcast.
+``row_number``  ``row_number()`` per group from one global range sort: a group
+    is spread over as many tasks as the sort gives it, whatever its size, and
+    equal scores are split by the columns that follow them in the order.  Each
+    task numbers its rows and the numbered rows are written once; per (task,
+    group) counts -- at most one row per group and task it reaches -- give
+    each task its starting rank.  Counts and rows come from the same written
+    rows, so they always agree.
 
 ``top_n``  ``row_number() <= n`` with a window: Catalyst inserts a partial
     ``WindowGroupLimit`` before the shuffle, so every task ships at most n
@@ -30,62 +26,36 @@ _PID = "_rk_pid"
 _POS = "_rk_pos"
 
 
-def row_number_sorted(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                      rank_col: str = "rank") -> DataFrame:
+def row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+               rank_col: str = "rank") -> DataFrame:
     """``row_number() over (partition by group_cols order by order)``.
 
-    ``order`` must be a total order within a group (end it with a key) for the
-    numbering to be deterministic.
+    ``order`` must be a total order of a group's distinct rows for the ranks
+    to be deterministic; rows equal in all of it get neighbouring ranks.
     """
     keys = [F.col(c).asc_nulls_first() for c in group_cols] + list(order)
-    # One range shuffle + sort; position = row index inside the sorted task.
-    pos = (F.monotonically_increasing_id()
-           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    numbered = df.orderBy(*keys).select("*", F.spark_partition_id().alias(_PID), pos.alias(_POS))
-    # The numbering is read twice (offsets, then the join), i.e. the sort runs
-    # twice.  Over a materialised input (see ``row_number``) both runs sample
-    # the same range bounds and put every row in the same task; positions can
-    # only differ among rows equal on all order keys, which leaves each
-    # (task, group) count -- and so a valid numbering -- unchanged.
-    # Groups are contiguous in sort order, so per (task, group) we only need
-    # the first position and the row count; offsets come from earlier tasks.
+    pos = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    numbered = materialize(df.orderBy(*keys).select("*", F.spark_partition_id().alias(_PID), pos.alias(_POS)))
     g = [F.col(c) for c in group_cols]
-    per_task = numbered.groupBy(_PID, *group_cols).agg(F.min(_POS).alias("_first"),
-                                                        F.count(F.lit(1)).alias("_n"))
+    per_task = numbered.groupBy(_PID, *group_cols).agg(F.min(_POS).alias("_rk_first"),
+                                                       F.count(F.lit(1)).alias("_rk_n"))
     earlier = Window.partitionBy(*g).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_task.select(_PID, *group_cols, "_first",
-                              F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    # Rename the small side so the join condition cannot bind both sides to
-    # the same attributes; match group keys null-safely (NULL is a group too).
+    # Renamed, so the join condition cannot bind both sides to the same
+    # attributes; group keys match null-safely (NULL is a group too).
     o_cols = [f"_rk_g{i}" for i in range(len(group_cols))]
-    offsets = offsets.select(F.col(_PID).alias("_rk_opid"),
-                             *[F.col(c).alias(o) for c, o in zip(group_cols, o_cols)],
-                             "_first", "_before")
+    offsets = per_task.select(
+        F.col(_PID).alias("_rk_opid"), *[F.col(c).alias(o) for c, o in zip(group_cols, o_cols)],
+        (F.coalesce(F.sum("_rk_n").over(earlier), F.lit(0)) - F.col("_rk_first") + 1).alias("_rk_add"))
     cond = F.col(_PID) == F.col("_rk_opid")
     for c, o in zip(group_cols, o_cols):
         cond = cond & F.col(c).eqNullSafe(F.col(o))
-    joined = numbered.join(offsets, cond, "inner").drop("_rk_opid", *o_cols)
-    rank = (F.col(_POS) - F.col("_first") + F.col("_before") + 1).cast("int")
-    return joined.withColumn(rank_col, rank).drop(_PID, _POS, "_first", "_before")
-
-
-def row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-               rank_col: str = "rank", max_group_rows: int = 5_000_000,
-               staged: bool = False) -> DataFrame:
-    """``row_number()`` per group; no group larger than ``max_group_rows`` is
-    ever ranked inside one task.  ``staged=True`` when ``df`` is already
-    materialised (a table read, a checkpoint)."""
-    src = df if staged else materialize(df)
-    biggest = (src.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0) if group_cols \
-        else src.count()
-    if biggest <= max_group_rows:
-        return row_number_window(src, group_cols, order, rank_col)
-    return row_number_sorted(src, group_cols, order, rank_col)
+    return numbered.join(offsets, cond).select(
+        *df.columns, (F.col(_POS) + F.col("_rk_add")).cast("int").alias(rank_col))
 
 
 def row_number_window(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
                       rank_col: str = "rank") -> DataFrame:
-    """Plain window ``row_number()``; right for many small groups."""
+    """Plain window ``row_number()``: a whole group in one task."""
     w = Window.partitionBy(*group_cols).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w))
 

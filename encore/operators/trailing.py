@@ -146,7 +146,8 @@ def _many_days(df, key, day, spans, distinct) -> DataFrame:
         return f"flatten(transform(days, (_d, _i) -> {body}))"
 
     whens = " ".join(f"WHEN kind = {quoted(c)} THEN {value_events(c)}" for c in distinct)
-    events_arr = F.expr(f"CASE {whens} ELSE array({event('get(days, 0)', 'n', {})}) END")
+    count_event = f"array({event('get(days, 0)', 'n', {})})"
+    events_arr = F.expr(f"CASE {whens} ELSE {count_event} END" if distinct else count_event)
     events = lvl1.select("key", F.inline_outer(events_arr))     # never empty (see _stacked)
     # Level 2: one row per (key, point) -- a few per day and key at most.
     points = (events.groupBy("key", "point").agg(*[F.sum(c).alias(c) for c in ev_fields[1:]])

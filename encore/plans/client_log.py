@@ -85,16 +85,19 @@ def song_play(parsed: DataFrame, data_dt: str | None, mode: str = "reference",
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    """Song-play records whose payload cannot be read as a JSON object."""
+    """Song-play records whose payload cannot be read as a JSON object (and the columns carried along)."""
+    extra = [c for c in parsed.columns if c not in ("request_type", "payload")]
     return _flat(parsed, False).where(_is_reject()).select(
-        F.lit(L.SONG_PLAY).alias("request_type"), "payload")
+        F.lit(L.SONG_PLAY).alias("request_type"), "payload", *extra)
 
 
 def route(parsed: DataFrame, mode: str = "reference", include_play_time: bool = False) -> DataFrame:
     """(request_type, line): song plays as a tab-joined row, others unchanged.
 
     A missing key is the text ``null`` (``reference``) or an empty field
-    (``intended``; never dropped, so the columns stay aligned).  Rejected
+    (``intended``; never dropped, so the columns stay aligned).  The text has
+    no escape, so a tab or line break inside a value is written as a space
+    (the table of :func:`song_play` keeps it).  Rejected
     song-play payloads are left out (see :func:`rejects`).
     """
     names = _field_names(include_play_time)
@@ -103,7 +106,7 @@ def route(parsed: DataFrame, mode: str = "reference", include_play_time: bool =
 
     def txt(n):
         v = F.col("_j").getField(n)
-        return F.coalesce(v, F.lit(L.MISSING_TEXT)) if mode == "reference" else F.coalesce(v, F.lit(""))
+        return F.translate(F.coalesce(v, F.lit(L.MISSING_TEXT if mode == "reference" else "")), "\t\n\r", "   ")
 
     row = F.concat_ws("\t", *[txt(n) for n in names])
     extra = [c for c in parsed.columns if c not in ("request_type", "payload")]

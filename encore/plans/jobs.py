@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.dates import day_minus
+from ..functions.dates import day_minus, day_range
 from ..sinks import tables as W
 from ..sources.tables import read_client_log, read_range, read_table
 from . import client_log, machines, rsi, songs, users
@@ -58,6 +58,11 @@ class Tables:
     mac_store_map: str = "to_ycbk_mac_store_map_d"
     store: str = "to_ycbk_store_d"
     machine_base: str = "tw_ycabk_mac_baseinfo_d"
+    log_rejects: str = "to_client_log_rejects_d"
+
+
+LOG_REJECTS = T.StructType([T.StructField("request_type", T.StringType()), T.StructField("payload", T.StringType()),
+                            schemas.DATA_DT])
 
 
 def create_warehouse(spark: SparkSession, t: Tables = Tables(), location: str | None = None) -> None:
@@ -65,6 +70,7 @@ def create_warehouse(spark: SparkSession, t: Tables = Tables(), location: str |
     def loc(name):
         return f"{location}/{name}" if location else None
     W.create_table(spark, t.play, schemas.SONG_PLAY, location=loc(t.play))
+    W.create_table(spark, t.log_rejects, LOG_REJECTS, location=loc(t.log_rejects))
     W.create_table(spark, t.song_base, schemas.SONG_BASE, partition_col=None, location=loc(t.song_base))
     W.create_table(spark, t.song_features, schemas.SONG_FEATURES, location=loc(t.song_features))
     W.create_table(spark, t.song_rsi, schemas.SONG_RSI, location=loc(t.song_rsi))
@@ -77,20 +83,24 @@ def create_warehouse(spark: SparkSession, t: Tables = Tables(), location: str |
 def ingest_client_log(spark: SparkSession, log_path: str, data_dt: str, routed_dir: str,
                       t: Tables = Tables(), partitions: int | None = None, append: bool = False,
                       mode: str = "reference") -> DataFrame:
-    """Client log file(s) of a day -> per-request-type text directories and the
-    song-play table partition.  Returns the rejected song-play records."""
-    parsed = client_log.parse(read_client_log(spark, log_path), mode,
-                              partitions or spark.sparkContext.defaultParallelism)
-    W.write_by_key(client_log.route(parsed, mode), f"{routed_dir}/{data_dt}")
-    # Load the song-play rows from what was just written (no second parse).
-    routed_song = spark.read.text(f"{routed_dir}/{data_dt}/request_type={client_log.L.SONG_PLAY}")
-    parts = F.split(F.col("value"), "\t")
-    table = routed_song.select(*[F.get(parts, i).alias(n) for i, n in enumerate(client_log.L.SONG_PLAY_FIELDS)])
-    if append:
-        W.append_partition(table, t.play, data_dt)
-    else:
-        W.overwrite_partition(table, t.play, data_dt)
-    return client_log.rejects(parsed)
+    """Client log file(s) of a day -> text directories by request type, the
+    song-play table's day and the rejects table's day.
+
+    The lines are parsed once; table and text both come from that, so neither
+    depends on the other's format.  Returns the day's rejected records.
+    """
+    with W.staged_folders(spark):
+        parsed = W.materialize(client_log.parse(read_client_log(spark, log_path), mode,
+                                                partitions or spark.sparkContext.defaultParallelism))
+        W.write_by_key(client_log.route(parsed, mode), f"{routed_dir}/{data_dt}")
+        plays, rejected = client_log.song_play(parsed, data_dt, mode), client_log.rejects(parsed)
+        if append:
+            W.append_partition(plays, t.play, data_dt)
+            W.append_partition(rejected, t.log_rejects, data_dt)
+        else:
+            W.overwrite_partition(plays, t.play, data_dt)
+            W.overwrite_partition(rejected, t.log_rejects, data_dt)
+    return read_range(read_table(spark, t.log_rejects), data_dt, data_dt).select("request_type", "payload")
 
 
 def build_song_base(spark: SparkSession, t: Tables = Tables(), tz: str = "UTC") -> None:
@@ -104,26 +114,28 @@ def build_song_features(spark: SparkSession, first_day: str, last_day: str | Non
     last_day = last_day or first_day
     plays = read_range(read_table(spark, t.play), day_minus(first_day, 30), last_day)
     f = songs.features(plays, read_table(spark, t.song_base), first_day, last_day, peak=peak)
-    W.overwrite_partition(f, t.song_features)
+    W.overwrite_days(f, t.song_features, day_range(first_day, last_day))
 
 
 def build_song_rsi(spark: SparkSession, data_dt: str, t: Tables = Tables(), jdbc: Jdbc | None = None,
                    top: int = 30, jdbc_table: str = "tm_song_rsi") -> None:
     feats = read_range(read_table(spark, t.song_features), data_dt, data_dt)
-    W.overwrite_partition(rsi.song_rsi(feats, staged=True), t.song_rsi)     # a table read: deterministic
+    with W.staged_folders(spark):
+        W.overwrite_partition(rsi.song_rsi(feats), t.song_rsi, data_dt)
     if jdbc is not None:
         written = read_range(read_table(spark, t.song_rsi), data_dt, data_dt)
-        out = rsi.top_n(written, top).select("data_dt", "period", "nbr", "name", "rsi", "rsi_rank")
+        out = rsi.top_n(written, top).select(F.lit(int(data_dt)).alias("data_dt"), "period", "nbr", "name", "rsi", "rsi_rank")
         jdbc.publish(out, jdbc_table, "overwrite")
 
 
 def build_singer_rsi(spark: SparkSession, data_dt: str, t: Tables = Tables(), jdbc: Jdbc | None = None,
                      top: int = 30, jdbc_table: str = "tm_singer_rsi") -> None:
     feats = read_range(read_table(spark, t.song_features), data_dt, data_dt)
-    W.overwrite_partition(rsi.singer_rsi(feats), t.singer_rsi)
+    with W.staged_folders(spark):
+        W.overwrite_partition(rsi.singer_rsi(feats), t.singer_rsi, data_dt)
     if jdbc is not None:
         written = read_range(read_table(spark, t.singer_rsi), data_dt, data_dt)
-        out = rsi.top_n(written, top).select("data_dt", "period", "singer1id", "singer1", "rsi", "rsi_rank")
+        out = rsi.top_n(written, top).select(F.lit(int(data_dt)).alias("data_dt"), "period", "singer1id", "singer1", "rsi", "rsi_rank")
         jdbc.publish(out, jdbc_table, "overwrite")
 
 
@@ -133,7 +145,7 @@ def build_user_login(spark: SparkSession, data_dt: str, t: Tables = Tables(), jd
         "alipay": read_table(spark, t.reg_alipay), "wechat": read_table(spark, t.reg_wechat),
         "qq": read_table(spark, t.reg_qq), "app": read_table(spark, t.reg_app)})
     detail = users.login_detail(read_table(spark, t.logins), regs, data_dt)
-    W.overwrite_partition(detail, t.login_detail)
+    W.overwrite_partition(detail, t.login_detail, data_dt)
     if jdbc is not None:
         single = users.single_login(read_table(spark, t.login_detail), data_dt, days)
         jdbc.publish(single, jdbc_table, "append")

@@ -2,7 +2,8 @@
 
 The three periods are produced as one long table with ``stack`` (one scan,
 one ranking), not as three ranked copies unioned together.  Ties are broken
-by the id columns, so every run ranks the same way.
+by all other output columns, so every run ranks the same way, also where the
+dimension repeats a key.
 """
 
 from __future__ import annotations
@@ -36,21 +37,14 @@ def song_scores(features: DataFrame) -> DataFrame:
 
 
 def _song_order():
-    return [F.col("rsi").desc_nulls_last(), F.col("nbr").asc_nulls_first()]
+    return [F.col("rsi").desc_nulls_last(), F.col("nbr").asc_nulls_first(), F.col("name").asc_nulls_first()]
 
 
-def song_rsi(features: DataFrame, data_dt: str | None = None,
-             max_group_rows: int = 5_000_000, staged: bool = False) -> DataFrame:
-    """Rank songs by RSI per day and period (``row_number``, 1 = highest).
-
-    The scores are materialised once (``staged=True``: ``features`` is a
-    table read already, skip that); a (day, period) group above
-    ``max_group_rows`` songs is ranked by the distributed sort.
-    """
+def song_rsi(features: DataFrame, data_dt: str | None = None) -> DataFrame:
+    """Rank songs by RSI per day and period (``row_number``, 1 = highest)."""
     if data_dt is not None:
         features = features.where(F.col("data_dt") == F.lit(data_dt))
-    ranked = row_number(song_scores(features), ["data_dt", "period"], _song_order(), "rsi_rank",
-                        max_group_rows, staged)
+    ranked = row_number(song_scores(features), ["data_dt", "period"], _song_order(), "rsi_rank")
     return ranked.select(*schemas.SONG_RSI.names)
 
 
@@ -102,15 +96,10 @@ def _singer_order():
             F.col("singer1").asc_nulls_first()]
 
 
-def singer_rsi(features: DataFrame, data_dt: str | None = None,
-               max_group_rows: int = 5_000_000) -> DataFrame:
-    """Roll songs up to first singers, score and rank per day and period.
-
-    The roll-up is an aggregation, so its output is always staged once
-    before ranking.
-    """
+def singer_rsi(features: DataFrame, data_dt: str | None = None) -> DataFrame:
+    """Roll songs up to first singers, score and rank per day and period."""
     scores = singer_scores(singer_rollup(features, data_dt))
-    ranked = row_number(scores, ["data_dt", "period"], _singer_order(), "rsi_rank", max_group_rows)
+    ranked = row_number(scores, ["data_dt", "period"], _singer_order(), "rsi_rank")
     return ranked.select(*schemas.SINGER_RSI.names)
 
 

@@ -17,8 +17,12 @@ from pyspark.sql import types as T
 from .functions import machines as FM
 from .functions import songs as FS
 from .functions import users as FU
-from .plans import client_log, machines, rsi, songs, users
+from . import schemas
+from .functions.dates import day_minus, window_bounds
+from .plans import client_log, jobs, machines, rsi, songs, users
+from .sinks import tables as W
 from .sources import fixtures as fx
+from .sources.tables import read_day, read_range, read_table
 
 LOG_DAY = "20240101"   # the day the raw log file belongs to
 
@@ -58,8 +62,8 @@ def _regs(spark, d):
     return users.registrations(fx.registrations(spark, d))
 
 
-def _detail_history(spark, d):
-    return users.login_detail(fx.logins(spark, d), _regs(spark, d))
+def _detail_history(spark, d, day=None):
+    return users.login_detail(fx.logins(spark, d), users.registrations(fx.registrations(spark, d, gaps=True)), day)
 
 
 def latest_day(df: DataFrame, col: str = "data_dt") -> str:
@@ -237,13 +241,13 @@ def user_single_login_bounded(spark, d):
 
 
 # ----------------------------------------------------------------- machines
-def _m(spark, d):
-    return fx.machine_sources(spark, d)
+def _m(spark, d, gaps=False):
+    return fx.machine_sources(spark, d, gaps)
 
 
 def machine_id_universe(spark, d):
     """Distinct machine ids of the three machine sources."""
-    m = _m(spark, d)
+    m = _m(spark, d, gaps=True)
     return machines.id_universe(m["mac"], m["loc"], m["admin"])
 
 
@@ -273,13 +277,13 @@ def machine_compact_time(spark, d):
 
 def machine_base_info_intended(spark, d):
     """Machine dimension built on the intended location repair."""
-    m = _m(spark, d)
+    m = _m(spark, d, gaps=True)
     return machines.base_info(m["mac"], m["loc"], m["admin"], m["store_map"], m["store"], mode="intended")
 
 
 def machine_mac_loc_join(spark, d):
     """Id universe x repaired locations x machine info (24 columns)."""
-    m = _m(spark, d)
+    m = _m(spark, d, gaps=True)
     universe = machines.id_universe(m["mac"], m["loc"], m["admin"])
     return machines.mac_with_location(machines.repair_locations(m["loc"]), m["mac"], universe)
 
@@ -293,15 +297,95 @@ def machine_product_name(spark, d):
 
 def machine_base_info(spark, d):
     """The 30-column machine dimension."""
-    m = _m(spark, d)
+    m = _m(spark, d, gaps=True)
     return machines.base_info(m["mac"], m["loc"], m["admin"], m["store_map"], m["store"])
 
 
+# ----------------------------------------------------------------- sources and sinks
+def _scratch(spark):
+    """A new table name and folder for a round trip through the catalog."""
+    path = W.stage_path(spark)
+    return "encore_" + path.rpartition("-")[2], path
+
+
+def song_rsi_one_day(spark, d):
+    """Song RSI of the newest day, its features read as one day partition (SRC3, FLT3)."""
+    plays = _plays(spark, d)
+    day = latest_day(plays)
+    feats = songs.features(plays, _base(spark, d), day, day)
+    return rsi.song_rsi(read_day(feats, day))
+
+
+def user_login_detail_one_day(spark, d):
+    """Login detail of the newest day."""
+    return _detail_history(spark, d, latest_day(fx.logins(spark, d)))
+
+
+def sink_overwrite_day(spark, d):
+    """Day overwrite of the play table (SNK2, SNK5): the three newest days are written, then the newest is replaced
+    by its song requests and the one before by nothing."""
+    plays, (name, path) = _plays(spark, d), _scratch(spark)
+    W.create_table(spark, name, schemas.SONG_PLAY, location=path)
+    for day in [day_minus(latest_day(plays), k) for k in range(3)]:
+        W.overwrite_partition(plays.where(F.col("data_dt") == day), name, day)
+    last = latest_day(plays)
+    W.overwrite_partition(plays.where((F.col("data_dt") == last) & (F.col("optrate_type") == "0")), name, last)
+    W.overwrite_partition(plays.where("false"), name, day_minus(last, 1))
+    return spark.table(name)
+
+
+def sink_overwrite_and_recover(spark, d):
+    """The song dimension overwritten as a table (SNK4), features written by path and recovered as partitions (SNK6),
+    read back by name (SRC2) and joined."""
+    (base, base_path), (feats, feats_path) = _scratch(spark), _scratch(spark)
+    W.create_table(spark, base, schemas.SONG_BASE, partition_col=None, location=base_path)
+    W.overwrite_table(_base(spark, d).where("false"), base)
+    W.overwrite_table(_base(spark, d), base)
+    W.create_table(spark, feats, schemas.SONG_FEATURES, location=feats_path)
+    W.write_partitioned(_features(spark, d), feats_path)
+    W.recover_partitions(spark, feats)
+    return read_table(spark, feats).join(read_table(spark, base).select("nbr", "dur"), ["nbr", "dur"]).select(
+        "nbr", "dur", "singcnt", "sing7cnt", "data_dt")
+
+
+def log_ingest_round_trip(spark, d):
+    """Gzip log file -> text by request type, play table and rejects, all read back (SRC1, SNK1, SNK3)."""
+    (play, play_path), (rej, rej_path) = _scratch(spark), _scratch(spark)
+    log, routed = W.stage_path(spark), W.stage_path(spark)
+    fx.client_log_lines(spark, d).write.option("compression", "gzip").text(log)
+    t = jobs.Tables(play=play, log_rejects=rej)
+    W.create_table(spark, play, schemas.SONG_PLAY, location=play_path)
+    W.create_table(spark, rej, jobs.LOG_REJECTS, location=rej_path)
+    jobs.ingest_client_log(spark, log, LOG_DAY, routed, t)
+    text = spark.read.text(f"{routed}/{LOG_DAY}")
+    table = spark.table(play).where(F.col("data_dt") == LOG_DAY)
+    return text.select(F.lit("text").alias("sink"), "request_type", F.col("value").alias("line")).unionByName(
+        table.select(F.lit("table").alias("sink"), F.lit(fx.SONG_PLAY_TYPE).alias("request_type"), F.concat_ws(
+            "\t", *[c for c in schemas.SONG_PLAY.names if c != "data_dt"]).alias("line"))).unionByName(
+        spark.table(rej).select(F.lit("rejects").alias("sink"), "request_type", F.col("payload").alias("line")))
+
+
+def log_song_play_with_time(spark, d):
+    """Song plays with the play time kept (the eleven-field row)."""
+    return client_log.song_play(_parsed(spark, d), LOG_DAY, include_play_time=True)
+
+
+def sql_functions(spark, d):
+    """The cleaners registered as SQL functions, called from SQL over registrations, machines and songs (UDF2)."""
+    from .functions import sql
+    sql.register(spark)
+    regs, m, song = _regs(spark, d), _m(spark, d), fx.song_info(spark, d)
+    return regs.selectExpr("uid AS id", "'score' AS rule", "CAST(score_int(score) AS STRING) AS value").unionByName(
+        m["loc"].selectExpr("mid AS id", "'time' AS rule", "compact_time(revenue_time) AS value")).unionByName(
+        m["admin"].selectExpr("machine_num AS id", "'product' AS rule", "product_name(product_type) AS value")).unionByName(
+        song.selectExpr("nbr AS id", "'types' AS rule", "product_types(prdct_type) AS value")).unionByName(
+        fx.logins(spark, d).selectExpr("id", "'mode' AS rule", "login_mode(mode_type) AS value")).unionByName(
+        fx.logins(spark, d).selectExpr("id", "'week before' AS rule", "day_minus(data_dt, 7) AS value"))
+
+
 # ----------------------------------------------------------------- misc
 def date_window_filter(spark, d):
     """Plays in the 31 day partitions up to the newest day (inclusive range read)."""
-    from .functions.dates import window_bounds
-    from .sources.tables import read_range
     p = _plays(spark, d)
     lo, hi = window_bounds(latest_day(p), 30)
     return read_range(p, lo, hi)
@@ -320,7 +404,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         machine_id_universe, machine_location_repair, machine_location_repair_intended,
         machine_province_city, machine_compact_time, machine_mac_loc_join, machine_product_name,
         machine_base_info, machine_base_info_intended,
-        date_window_filter,
+        date_window_filter, song_rsi_one_day, user_login_detail_one_day, sink_overwrite_day,
+        sink_overwrite_and_recover, log_ingest_round_trip, log_song_play_with_time, sql_functions,
     ]
 }
 

@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # File sizes are no proof of a side's size: only AQE, which has measured
+    # it, may turn a join into a broadcast join.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -27,14 +31,13 @@ def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: in
                  target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a large cluster, sized from the bytes a job reads.
 
-    Shuffle partitions start at input/target, within [2x, 20x] the task
-    slots (the map x reduce block count stays manageable), and AQE coalesces
-    the small ones toward ``target_partition_bytes``; skewed partitions above
-    4x the median are split.  Broadcast stays behind AQE's
-    runtime size check with a fixed ceiling.
+    Shuffle partitions are input/target, at least twice the task slots, and
+    AQE coalesces the small ones toward ``target_partition_bytes``; skewed
+    partitions above 4x the median are split.  A join becomes a broadcast
+    join only from a measured size below a fixed ceiling.
     """
     slots = executors * cores_per_executor
-    parts = min(20 * slots, max(2 * slots, -(-input_bytes // target_partition_bytes)))
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
     return {
         **{k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql.adaptive")},
         "spark.sql.shuffle.partitions": str(parts),
@@ -43,7 +46,7 @@ def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: in
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
 

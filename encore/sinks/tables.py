@@ -7,16 +7,22 @@ restarted and overwrites of a day partition are idempotent.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_dir
+
 
 def write_by_key(df: DataFrame, path: str, key: str = "request_type", value: str = "line",
                  mode: str = "overwrite") -> None:
     """One directory per key value (``path/key=<k>/part-*.txt``), the key not
-    written into the lines.  Any number of tasks may write the same key."""
-    df.select(key, value).write.mode(mode).partitionBy(key).text(path)
+    written into the lines.  Rows are rebalanced by key first: a key's rows
+    meet in one task, or in as many as its size needs."""
+    df.select(key, value).hint("rebalance", key).write.mode(mode).partitionBy(key).text(path)
 
 
 def _ddl(schema: T.StructType, partition_col: str | None) -> str:
@@ -45,25 +51,32 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(sql)
 
 
-def overwrite_partition(df: DataFrame, table: str, data_dt: str | None = None,
-                        partition_col: str = "data_dt") -> None:
-    """Replace the day partitions present in ``df`` (or force ``data_dt``),
-    leaving every other day of ``table`` untouched.
+def overwrite_partition(df: DataFrame, table: str, data_dt: str, partition_col: str = "data_dt") -> None:
+    """Replace one day of ``table`` by the rows of ``df``, leaving every other day untouched.
 
-    Uses dynamic partition overwrite through the session setting -- the
-    writer option of that name is ignored by ``insertInto`` -- and restores
-    the previous value afterwards (run one write at a time per session).
+    A static ``INSERT OVERWRITE ... PARTITION``: no rows empty the day, and no
+    session setting is involved.
     """
-    spark = df.sparkSession
-    if data_dt is not None:
-        df = df.withColumn(partition_col, F.lit(str(data_dt)))
-    cols = spark.table(table).columns
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    view = f"encore_day_{uuid.uuid4().hex}"
+    cols = [c for c in df.sparkSession.table(table).columns if c != partition_col]
+    df.select(*cols).hint("rebalance").createOrReplaceTempView(view)
     try:
-        df.select(*cols).write.mode("overwrite").insertInto(table)
+        df.sparkSession.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}` = '{data_dt}') SELECT * FROM {view}")
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        df.sparkSession.catalog.dropTempView(view)
+
+
+def overwrite_days(df: DataFrame, table: str, days: list[str], partition_col: str = "data_dt") -> None:
+    """Replace each of ``days`` by its rows of ``df``, a day without rows by nothing.
+
+    ``df`` is computed once, into a staged folder laid out by day.
+    """
+    path = stage_path(df.sparkSession)
+    df.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    for day in days:
+        overwrite_partition(staged.where(F.col(partition_col) == F.lit(day)), table, day, partition_col)
+    drop_stage(df.sparkSession, path)
 
 
 def append_partition(df: DataFrame, table: str, data_dt: str | None = None,
@@ -81,7 +94,7 @@ def overwrite_table(df: DataFrame, table: str) -> None:
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "data_dt") -> None:
     """Path-level dynamic overwrite of the day partitions present in ``df``."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(path)
 
 
@@ -107,6 +120,17 @@ def publish_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",
     w.save()
 
 
+def stage_path(spark: SparkSession) -> str:
+    """A new folder name below ``spark.checkpoint.dir``."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/encore-stage-{uuid.uuid4().hex}"
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder once no plan reads it any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, how: str = "parquet") -> DataFrame:
     """Compute ``df`` once and cut its lineage, in the shared folder named by
     ``spark.checkpoint.dir`` (never a machine-local or local checkpoint).
@@ -114,14 +138,29 @@ def materialize(df: DataFrame, how: str = "parquet") -> DataFrame:
     ``parquet`` (default) writes a columnar table there and reads it back --
     compact, and later reads scan only the columns they use; ``checkpoint``
     uses ``DataFrame.checkpoint()``.  Either way later stages never recompute
-    upstream work, and a lost executor re-reads files instead.
+    upstream work, and a lost executor re-reads files instead.  Jobs remove
+    the folder once their result is written (:func:`staged_folders`).
     """
-    import uuid
-
-    from ..session import checkpoint_dir
-    d = checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     if how == "checkpoint":
+        checkpoint_dir(spark)
         return df.checkpoint(eager=True)
-    path = f"{d.rstrip('/')}/encore-stage-{uuid.uuid4().hex}"
+    path = stage_path(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _OPEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_OPEN: dict[str, list[str]] = {}
+
+
+@contextmanager
+def staged_folders(spark: SparkSession):
+    """Removes, at its end, the folders that :func:`materialize` wrote inside it."""
+    paths = _OPEN.setdefault(spark.sparkContext.applicationId, [])
+    before = len(paths)
+    try:
+        yield
+    finally:
+        while len(paths) > before:
+            drop_stage(spark, paths.pop())

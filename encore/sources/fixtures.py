@@ -5,16 +5,15 @@ columns, ``data_dt`` partitions, raw log lines, JSON texts).  They do none of
 the jobs' work: every parse, clean, count, join and rank runs in
 ``encore.plans`` on whatever rows these produce.  Variety (malformed JSON,
 NULLs, ``'null'`` text, duplicate channels) is picked from key residues so
-that each documented edge case occurs in every table size.  Where a residue
-decides which source table a key appears in (registration channels, machine
-sources), that models partial overlap between sources -- a user in no
-channel, a machine without location -- not sampling: every row of the test
-table feeds at least one source, and the jobs read all of them.
+that each documented edge case occurs in every table size.  Every row of a
+test table becomes a row of its stand-in; only with ``gaps=True``, for the
+joins, some users are in no channel and some machines lack a source, since
+partial overlap is what a join's outer side is about.
 
 Mapping (all ids cast to string):
 
-* play log       <- lineitem  (song = part key mod 101, user = supplier,
-                                order = order key, day = ship date)
+* play log       <- lineitem  (song = part key, user = supplier key, order =
+                                order key, day = ship date folded to 60 days)
 * raw song info  <- part
 * raw log lines  <- events
 * logins         <- orders    (user = customer, day = order date)
@@ -24,32 +23,14 @@ Mapping (all ids cast to string):
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 
 
-def _plan_once(fn):
-    """Build a stand-in table's (lazy) plan once per session and folder.
-
-    Only the Python-side plan object is reused -- every query still reads
-    and computes all of its input when it runs; nothing is cached as data.
-    """
-    return functools.lru_cache(maxsize=64)(fn)
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A test table.  ``spread``: each test file is a single parquet row group,
-    so its scan is one task, while a warehouse fact table is many files read
-    in parallel; spread the rows over the default parallelism right after the
-    scan (column pruning still reaches the scan) to model that."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _s(c) -> Column:
@@ -73,24 +54,26 @@ def _ntz_from_epoch_seconds(sec: Column) -> Column:
 
 
 # --------------------------------------------------------------------------- songs
-@_plan_once
+PLAY_DAYS = 60
+
+
 def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``to_client_song_play_operate_req_d`` from lineitem."""
-    li = _t(spark, sf_dir, "lineitem", spread=True)
-    song = F.col("l_partkey") % 101
-    user = F.col("l_suppkey") % 23
+    li = _t(spark, sf_dir, "lineitem")
+    song, user = F.col("l_partkey"), F.col("l_suppkey")
+    day = F.date_add(F.lit("1995-01-01").cast("date"), F.datediff("l_shipdate", F.lit("1992-01-01").cast("date")) % PLAY_DAYS)
     return li.select(
-        F.when(song == 100, F.lit(None).cast("string")).otherwise(_s(song)).alias("songid"),
+        F.when(song % 101 == 100, F.lit(None).cast("string")).otherwise(_s(song)).alias("songid"),
         _s("l_suppkey").alias("mid"),
         _s(F.col("l_linenumber") % 7).alias("optrate_type"),
-        _case(user, [None, "0", ""], _s(user)).cast("string").alias("uid"),
+        _case(user % 23, [None, "0", ""], _s(user)).cast("string").alias("uid"),
         _s(F.col("l_linenumber") % 2).alias("consume_type"),
         _s(F.col("l_quantity").cast("bigint")).alias("dur_time"),
         _s("l_orderkey").alias("session_id"),
         F.col("l_returnflag").alias("songname"),
         F.col("l_linestatus").alias("pkg_id"),
         F.when(F.col("l_linenumber") == 1, F.lit("")).otherwise(_s("l_orderkey")).alias("order_id"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("data_dt"),
+        F.date_format(day, "yyyyMMdd").alias("data_dt"),
     )
 
 
@@ -98,7 +81,6 @@ def post_time_seconds(partkey: Column) -> Column:
     return F.lit(1262304000) + partkey * 86400 + (partkey % 24) * 3600
 
 
-@_plan_once
 def song_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``to_song_info_d`` from part, with every cleaner's input shape."""
     p = _t(spark, sf_dir, "part")
@@ -163,7 +145,6 @@ OTHER_TYPES = {
 }
 
 
-@_plan_once
 def client_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ``ts&mid&type&json&ver&ver`` lines (column ``value``) from events.
 
@@ -171,7 +152,7 @@ def client_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields), 6 five fields, 7 an ``&`` inside the song name (seven fields),
     8 malformed JSON, 9 a payload missing two keys.
     """
-    ev = _t(spark, sf_dir, "events", spread=True)
+    ev = _t(spark, sf_dir, "events")
     e, uid_src, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
     v = e % 10
     rtype = F.lit(SONG_PLAY_TYPE)
@@ -201,10 +182,9 @@ def client_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- users
-@_plan_once
 def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``to_user_login_info_d`` from orders."""
-    o = _t(spark, sf_dir, "orders", spread=True)
+    o = _t(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return o.select(
         _s("o_custkey").alias("uid"), _s(k).alias("id"), _s(F.col("o_custkey") % 50).alias("mid"),
@@ -234,15 +214,17 @@ def _score(k: Column) -> Column:
                          F.concat(_s(k % 100), F.lit(".5"))], "x")
 
 
-@_plan_once
-def registrations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def registrations(spark: SparkSession, sf_dir: str, gaps: bool = False) -> dict[str, DataFrame]:
     """The four channel tables from customer.
 
-    Channel by key mod 4 (alipay, wechat, qq, app); keys divisible by 11 are
-    in no channel; alipay keys divisible by 3 are also in wechat (fan-out).
+    Channel by key mod 4 (alipay, wechat, qq, app); alipay keys divisible by 3
+    are also in wechat (fan-out).  ``gaps``: keys divisible by 11 have not
+    registered.
     """
-    c = _t(spark, sf_dir, "customer").where(F.col("c_custkey") % 11 != 0)
+    c = _t(spark, sf_dir, "customer")
     k = F.col("c_custkey")
+    if gaps:
+        c = c.where(k % 11 != 0)
     level = _s(k % 10).alias("user_level")
     alipay = c.where(k % 4 == 0).select(*_reg_common(c, "msisdn"), _score(k).alias("score"), level,
                                        _s(k % 2).alias("is_certified"), F.lit("0").alias("is_student_certified"),
@@ -275,13 +257,20 @@ ADDRESSES = [
 ]
 
 
-@_plan_once
-def machine_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five machine source tables from customer and nation."""
+def machine_sources(spark: SparkSession, sf_dir: str, gaps: bool = False) -> dict[str, DataFrame]:
+    """The five machine source tables from customer and nation.
+
+    ``gaps``: a fifth of the machines has no machine row, a seventh no
+    location, a third no admin row.
+    """
     c = _t(spark, sf_dir, "customer")
     k, nk = F.col("c_custkey"), F.col("c_nationkey")
+
+    def having(n: int) -> DataFrame:
+        return c.where(k % n != 0) if gaps else c
+
     mid = _s(k).alias("mid")
-    mac = c.where(k % 5 != 0).select(
+    mac = having(5).select(
         mid, F.concat(F.lit("SN"), _s(k)).alias("serialnum"), F.concat(F.lit("HW"), _s(k % 97)).alias("hard_id"),
         _s(nk).alias("song_warehouse_version"), F.lit("3.0.1").alias("exec_version"),
         F.lit("2.4.4").alias("ui_version"), _s(k % 2).alias("online"), F.lit("1").alias("status"),
@@ -291,7 +280,7 @@ def machine_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     a = k % len(ADDRESSES)
     address = _case(a, [F.lit(x).cast("string") for x, _ in ADDRESSES], F.lit(None).cast("string"))
     real = _case(a, [F.lit(y).cast("string") for _, y in ADDRESSES], F.lit(None).cast("string"))
-    loc = c.where(k % 7 != 0).select(
+    loc = having(7).select(
         mid, _s(nk).alias("province_id"), _s(k % 100).alias("city_id"),
         F.when(nk == 5, F.lit(None).cast("string")).when(k % 3 != 2, F.lit("null"))
          .otherwise(F.concat(F.lit("P"), _s(nk))).alias("province"),
@@ -300,7 +289,7 @@ def machine_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         address.alias("address"), real.alias("real_address"),
         _case(k % 4, ["null", "20190101", "20190101083000"], F.lit(None).cast("string")).alias("revenue_time"),
         F.when(k % 5 == 0, F.lit("20180505")).otherwise(F.lit("null")).alias("sale_time"))
-    admin = c.where(k % 3 != 0).select(
+    admin = having(3).select(
         _s(k).alias("machine_num"), F.col("c_name").alias("machine_name"), _s(k % 10).alias("inv_rate"),
         F.lit("10").alias("age_rate"), F.lit("20").alias("com_rate"), F.lit("30").alias("par_rate"),
         F.col("c_mktsegment").alias("package_name"),

@@ -58,3 +58,15 @@ def start_routed_stream(spark: SparkSession, landing_dir: str, routed_dir: str,
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(routed_dir)
+
+
+def start_rejects_stream(spark: SparkSession, landing_dir: str, rejects_dir: str,
+                         checkpoint: str | None = None, mode: str = "reference",
+                         available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
+    """Stream the song-play records that cannot be read to a parquet table by ``data_dt``."""
+    parsed = client_log.parse(_lines(spark, landing_dir, max_files), mode, keep=("data_dt",))
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/rejects_stream"
+    w = (client_log.rejects(parsed).writeStream.format("parquet").outputMode("append").partitionBy("data_dt")
+         .option("checkpointLocation", ckpt))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start(rejects_dir)

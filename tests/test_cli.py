@@ -21,7 +21,7 @@ def test_cli_song_base_and_features(spark):
     from encore.session import cluster_conf
     saved = {k: spark.conf.get(k, None) for k in cluster_conf(1)}
     try:
-        main(["song-features", "--database", db, "--day", "19960801", "--to", "19960809",
+        main(["song-features", "--database", db, "--day", "19950202", "--to", "19950210",
               "--input-bytes", "1000000"])
         assert spark.conf.get("spark.sql.shuffle.partitions") == "8000"
     finally:
@@ -31,6 +31,14 @@ def test_cli_song_base_and_features(spark):
             else:
                 spark.conf.set(k, v)
     days = {r[0] for r in spark.table(f"{db}.tw_song_ftur_d").select("data_dt").distinct().collect()}
-    assert days and all("19960801" <= d <= "19960809" for d in days)
+    assert days and all("19950202" <= d <= "19950210" for d in days)
     with pytest.raises(SystemExit):
         main(["no-such-job"])
+
+
+def test_cli_refuses_switches_without_effect():
+    for args in (["song-rsi", "--mode", "intended"], ["song-rsi", "--peak", "daily"], ["machine-base", "--append"],
+                 ["song-features", "--tz", "Asia/Shanghai"]):
+        with pytest.raises(SystemExit):
+            main([*args, "--day", "20201230"])
+

@@ -5,8 +5,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from encore import registry
+from encore.plans import rsi
 
 
 def _plan(df):
@@ -15,7 +16,7 @@ def _plan(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: _plan(q(spark, SF_SMALL)) for name, q in E.queries().items()}
+    return {name: _plan(q(spark, SF_SMALL)) for name, q in registry.queries().items()}
 
 
 def test_no_python_udf_or_cross_join(plans):
@@ -37,7 +38,7 @@ def test_one_json_parse_per_line(plans):
 
 def test_features_shuffle_count(plans):
     keyed = re.findall(r"Exchange (hashpartitioning|rangepartitioning)", plans["song_features"])
-    assert len(keyed) == 3          # day sets, (song, day) points, per-song window
+    assert len(keyed) == 4          # day sets, (song, day) points, per-song window; the dimension
     assert "ObjectHashAggregate" in plans["song_features"]
 
 
@@ -54,7 +55,7 @@ def test_features_join_reuses_song_partitioning(spark):
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        p = _plan(E.queries()["song_features"](spark, SF_SMALL))
+        p = _plan(registry.queries()["song_features"](spark, SF_SMALL))
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -62,11 +63,24 @@ def test_features_join_reuses_song_partitioning(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(nbr#", p)) == 1
 
 
-def test_large_groups_are_not_ranked_in_one_window(spark):
-    from encore import registry
-    from encore.plans import rsi
+def test_groups_are_not_ranked_in_one_window(spark):
     feats = registry.QUERIES["song_features"](spark, SF_SMALL)
-    forced = _plan(rsi.song_rsi(feats, max_group_rows=1))       # every group "too large"
-    assert "rangepartitioning" in forced and "row_number()" not in forced
-    default = _plan(rsi.song_rsi(feats))
-    assert "row_number()" in default
+    p = _plan(rsi.song_rsi(feats))
+    assert "row_number()" not in p and "encore-stage-" in p     # numbered by the sort, counts from the written rows
+
+
+def test_static_sizes_never_broadcast(plans):
+    assert "BroadcastHashJoin" not in plans["song_features"]
+
+
+def test_one_day_prunes_partitions(spark):
+    """Both bounds of a day's window reach a day-partitioned table's scan."""
+    from encore.operators.trailing import trailing_stats
+    from encore.sinks import tables as W
+    path = W.stage_path(spark)
+    registry._plays(spark, SF_SMALL).write.partitionBy("data_dt").parquet(path)
+    plays = spark.read.schema("songid string, uid string, order_id string, data_dt string").parquet(path)
+    for first, last in (("19950215", "19950215"), ("19950210", "19950215")):
+        p = _plan(trailing_stats(plays, "songid", "data_dt", (7, 30), ("uid",), first, last))
+        parts = re.findall(r"PartitionFilters: \[([^\]]*)\]", p)
+        assert parts and all(">= 199501" in x and f"<= {last}" in x for x in parts)

@@ -7,7 +7,7 @@ import tempfile
 from conftest import rows
 from encore import schemas
 from encore.plans import client_log as CL
-from encore.streaming.client_log import start_routed_stream, start_song_play_stream
+from encore.streaming.client_log import start_rejects_stream, start_routed_stream, start_song_play_stream
 from test_client_log import LINES
 
 
@@ -37,3 +37,7 @@ def test_song_play_stream_exactly_once(spark):
     r.awaitTermination()
     assert sorted(os.listdir(os.path.join(routed, "data_dt=20201230"))) == [
         "request_type=MINIK_CLIENT_REPORT_PKG_USE_STATUS", "request_type=MINIK_CLIENT_SONG_PLAY_OPERATE_REQ"]
+    j = start_rejects_stream(spark, landing, os.path.join(base, "rejects"), os.path.join(base, "ckpt3"))
+    j.awaitTermination()
+    bad = CL.rejects(CL.parse(spark.createDataFrame([(x,) for x in LINES], "value string")))
+    assert spark.read.parquet(os.path.join(base, "rejects")).count() == bad.count() > 0
