@@ -96,9 +96,9 @@ def _hashes(found: list, bands: bool):
 
 
 def _band_rows(docs: DataFrame) -> DataFrame:
-    """(band, content, copies): band keys of all paragraphs; copies within a batch of documents leave as one row."""
+    """(band, content, copies): band keys of all paragraphs; copies within a slice of documents leave as one row."""
     def run(batches):
-        for b in batches:
+        for b in tx.slices(batches, 0):
             found = list(_long_paragraphs(b.column(0).cast(pa.binary()).to_pylist()))
             if found:
                 content, keys = _hashes(found, True)
@@ -115,7 +115,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for b in batches:
+        for b in tx.slices(batches, 1):
             found = list(_long_paragraphs(b.column(1).cast(pa.binary()).to_pylist()))
             if found:
                 content, _ = _hashes(found, False)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,21 @@ class Cached(dict):
         return value
 
 
+def slices(batches, column: int, size: int = 1 << 22):
+    """Arrow batches cut so that a slice holds about ``size`` bytes of the text column, or one longer text.
+
+    What a task holds of words and arrays then depends on neither the batch
+    size nor the number of long texts.
+    """
+    for b in batches:
+        upto = np.cumsum(pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, "right")))
+            yield b.slice(at, end - at)
+            at = end
+
+
 _LOADED: dict = {}
 
 
@@ -57,7 +74,6 @@ def word_encoder(tokenizer_json: str):
     """
     def load():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
         from tokenizers import Tokenizer
         tok = Tokenizer.from_str(tokenizer_json)
 
