@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -32,6 +33,10 @@ ROUNDS = 2
 #: Fixed value: what stands for the space before a word in the vocabulary.
 SPACE = "▁"
 END = "</s>"
+#: Characters of a block of words that a lattice is laid out for at once.
+BLOCK = 200_000
+
+_PRIME, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def _is_byte(piece: str) -> bool:
@@ -39,72 +44,102 @@ def _is_byte(piece: str) -> bool:
 
 
 class Lattice:
-    """Piece probabilities of a vocabulary and sums over a word's segmentations."""
+    """Piece probabilities of a vocabulary and sums over words' segmentations, for many words of a length at a time."""
 
     def __init__(self, log_probs: dict[str, float]):
         """``log_probs``: natural logarithms, for the pieces, byte pieces as ``<0x..>`` and the end."""
         self.byte = {int(p[3:5], 16): x for p, x in log_probs.items() if _is_byte(p)}
-        whole = {p: x for p, x in log_probs.items() if not _is_byte(p) and p != END}
-        #: A piece's log probability; None for what only begins pieces.
-        self.found = {p[:k]: None for p in whole for k in range(1, len(p))} | whole
-        self.spelled = tx.Cached(lambda c: sum(self.byte[b] for b in c.encode()))
-
-    def forward(self, s: str, kept: list | None = None) -> list[float]:
-        """Log probability of reaching each place; ``kept`` gets the edges (from, to, log probability)."""
-        exp, log1p, found, unknown = math.exp, math.log1p, self.found, -1.0
-        n, unreached = len(s), -math.inf
-        alpha = [0.0] + [unreached] * n
-        for i in range(n):
-            here, j = alpha[i], i + 1
-            while j <= n:
-                x = found.get(s[i:j], unknown)
-                if x is unknown:
-                    if j > i + 1:
-                        break
-                    x = self.spelled[s[i]]  # a character that begins no piece is spelled by its bytes
-                elif x is None:
-                    if j > i + 1:
-                        j += 1
-                        continue
-                    x = self.spelled[s[i]]  # nor is one a piece by itself that only begins longer ones
-                if kept is not None:
-                    kept.append((i, j, x))
-                x += here
-                old = alpha[j]
-                if old == unreached:
-                    alpha[j] = x
-                elif old > x:
-                    alpha[j] = old + log1p(exp(x - old))
-                else:
-                    alpha[j] = x + log1p(exp(old - x))
-                j += 1
+        self.pieces = [p for p in log_probs if not _is_byte(p) and p != END]
+        self.longest = max(map(len, self.pieces), default=1)
+        hashes, sizes = np.zeros(len(self.pieces), np.uint64), np.array([len(p) for p in self.pieces])
+        for n in range(1, self.longest + 1):
+            own = np.flatnonzero(sizes == n)
+            if len(own):
+                codes = np.frombuffer("".join(self.pieces[k] for k in own).encode("utf-32-le"), "<u4")
+                hashes[own] = self._substrings(codes.reshape(len(own), n).astype(np.uint64), n)[-1][:, 0]
+        self.order = np.argsort(hashes)
+        self.hashes, self.log = hashes[self.order], np.array([log_probs[p] for p in self.pieces])[self.order]
+
+    @staticmethod
+    def _substrings(codes: np.ndarray, longest: int) -> list[np.ndarray]:
+        """Hashes of all substrings of 1, 2, ... ``longest`` characters, by where they begin (words x places)."""
+        out, h = [], np.zeros(codes.shape, np.uint64)
+        for size in range(1, min(longest, codes.shape[1]) + 1):
+            n = codes.shape[1] - size + 1
+            h = (h[:, :n] * _PRIME) ^ (codes[:, size - 1:] + np.uint64(1)) * _ODD
+            h = h ^ (h >> np.uint64(29))
+            out.append(h)
+        return out
+
+    def _edges(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By length: log probability and sorted place of the piece that begins at each place, or -inf and -1.
+
+        A character that is no piece is spelled by its byte pieces.
+        """
+        out = []
+        for h in self._substrings(codes, self.longest):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            hit = self.hashes[at] == h
+            logs = np.where(hit, self.log[at], -np.inf)
+            if not out and not hit.all():
+                for c in np.unique(codes[~hit]).tolist():
+                    logs[codes == c] = sum(self.byte[b] for b in chr(c).encode())
+            out.append((logs, np.where(hit, at, -1)))
+        return out
+
+    @staticmethod
+    def _forward(edges: list, shape: tuple) -> np.ndarray:
+        """Log probability of reaching each place."""
+        alpha = np.full((shape[0], shape[1] + 1), -np.inf)
+        alpha[:, 0] = 0.0
+        for j in range(1, shape[1] + 1):
+            alpha[:, j] = np.logaddexp.reduce(
+                [alpha[:, j - k] + edges[k - 1][0][:, j - k] for k in range(1, min(j, len(edges)) + 1)])
         return alpha
 
-    def word(self, word: bytes) -> float:
-        """Log10 marginal probability of a word."""
-        return self.forward(SPACE + word.decode())[-1] / math.log(10)
-
-    def expect(self, word: bytes, n: float, counts: Counter) -> None:
-        """Add ``n`` times the expected use of each piece in ``word``."""
-        s, kept, exp, log1p = SPACE + word.decode(), [], math.exp, math.log1p
-        alpha = self.forward(s, kept)
-        unreached, total = -math.inf, alpha[-1]
-        beta = [unreached] * len(s) + [0.0]
-        for i, j, x in reversed(kept):  # all edges from a place follow those from earlier ones
-            x += beta[j]
-            p = n * exp(alpha[i] + x - total)
-            if self.found.get(s[i:j]) is not None:
-                counts[s[i:j]] += p
-            else:
-                for b in s[i].encode():
-                    counts[f"<0x{b:02X}>"] += p
-            old = beta[i]
-            if old == unreached:
-                beta[i] = x
-            elif old > x:
-                beta[i] = old + log1p(exp(x - old))
-            else:
-                beta[i] = x + log1p(exp(old - x))
+    @staticmethod
+    def _by_length(words: list[bytes]):
+        """(positions, character codes) of words of one length, in blocks of bounded size."""
+        texts = [SPACE + w.decode() for w in words]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        for n in np.unique(sizes).tolist():
+            own = order[np.searchsorted(sizes[order], n):np.searchsorted(sizes[order], n, "right")]
+            step = max(1, BLOCK // n)
+            for at in range(0, len(own), step):
+                some = own[at:at + step]
+                codes = np.frombuffer("".join(texts[i] for i in some).encode("utf-32-le"), "<u4")
+                yield some, codes.reshape(len(some), n).astype(np.uint64)
+
+    def words(self, words: list[bytes]) -> np.ndarray:
+        """Log10 marginal probability of each word."""
+        out = np.zeros(len(words))
+        for some, codes in self._by_length(words):
+            out[some] = self._forward(self._edges(codes), codes.shape)[:, -1]
+        return out / math.log(10)
+
+    def expect(self, words: list[bytes], times: list[int], counts: Counter) -> None:
+        """Add the expected use of each piece over all words, each counted ``times``."""
+        used, times = np.zeros(len(self.pieces)), np.array(times, np.float64)
+        for some, codes in self._by_length(words):
+            edges, n = self._edges(codes), codes.shape[1]
+            alpha = self._forward(edges, codes.shape)
+            beta = np.full(alpha.shape, -np.inf)
+            beta[:, n] = 0.0
+            for i in range(n - 1, -1, -1):
+                beta[:, i] = np.logaddexp.reduce(
+                    [edges[k - 1][0][:, i] + beta[:, i + k] for k in range(1, min(n - i, len(edges)) + 1)])
+            for k, (logs, piece) in enumerate(edges, 1):
+                share = np.exp(alpha[:, :n - k + 1] + logs + beta[:, k:] - alpha[:, -1:]) * times[some, None]
+                known = piece >= 0
+                used += np.bincount(piece[known], share[known], len(used))
+                if k == 1 and not known.all():
+                    for c in np.unique(codes[~known]).tolist():
+                        x = float(share[codes == c].sum())
+                        for b in chr(c).encode():
+                            counts[f"<0x{b:02X}>"] += x
+        for k in np.flatnonzero(used).tolist():
+            counts[self.pieces[self.order[k]]] += float(used[k])
 
 
 def _vocabulary(model: bytes) -> list[str]:
@@ -149,9 +184,7 @@ def train(words: DataFrame, ends: int, model: bytes, rounds: int = ROUNDS) -> di
         sent = sc.broadcast(probs)
 
         def expect(counts, batch, n, sent=sent):
-            lattice = Lattice(sent.value)
-            for w, c in zip(batch, n):
-                lattice.expect(w, c, counts)
+            Lattice(sent.value).expect(batch, n, counts)
 
         probs = _log_probs(vocabulary, _piece_counts(words, expect), ends)
     return probs
@@ -196,7 +229,7 @@ def scores(docs: DataFrame, model_path: str, rounds: int = ROUNDS, hot: float =
         lattice = Lattice(probs.value)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([lattice.word(w) for w in b.column("word").to_pylist()], pa.float64())],
+                [*b.columns, pa.array(lattice.words(b.column("word").to_pylist()))],
                 ["word", "c", "log_p"])
 
     words = staged(counted.mapInArrow(mark, "word binary, c bigint, log_p double"), "scored-words")
