@@ -1,10 +1,11 @@
 """Benchmark decontamination: passages query a BM25 inverted index of test items by block-max WAND.
 
-Each passage (a window of words, half overlapping, at least twice the longest
-item) is a query.  An item's BM25 score is taken as a share of the item's
-score for its own text, so one threshold serves items of any length; every
-item above it is retrieved: windows whose terms' upper bounds cannot reach it
-are passed over, the rest walk the posting lists with block maxima.  A
+Each passage (a window of words, half overlapping, twice the longest item) is
+a query.  An item's BM25 score is taken as a share of the item's score for its
+own text, so one threshold serves items of any length; every item above it is
+retrieved.  Posting lists are cut into blocks of neighbouring items, the same
+for all terms; a block whose terms' maxima cannot add up to the threshold is
+passed over, in the others WAND moves the lists from pivot to pivot.  A
 retrieved item counts if the passage also holds 0.8 or more of the five-word
 shingles of its question (all but its last sentence) and of its answer (its
 last sentence; an item of one sentence is both).
@@ -26,9 +27,10 @@ from . import text as tx
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score from which it is retrieved; shingle share from which it counts.
-THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.8, 5
-#: Postings of a block; items of an index sent to the tasks (more items are more indexes, asked in turn).
-POSTINGS, INDEX_ITEMS = 16, 20_000
+THRESHOLD, OVERLAP, SHINGLE = 0.6, 0.8, 5
+#: Items of a block at least, and blocks at most; items of an index sent to the tasks (more items are more indexes,
+#: asked in turn).
+BLOCK_ITEMS, BLOCKS, INDEX_ITEMS = 8, 256, 20_000
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _END = 1 << 60
@@ -64,23 +66,35 @@ class Index:
             for w, x in weight.items():
                 found.setdefault(w, []).append((i, x / own))
         self.term = {w: k for k, w in enumerate(found)}
-        self.items = [[i for i, _ in p] for p in found.values()]
-        self.weights = [[x for _, x in p] for p in found.values()]
-        self.bound = np.array([max(w) for w in self.weights])
-        cut = range(0, max(map(len, self.items), default=0), POSTINGS)
-        self.block_last = [[p[min(c + POSTINGS, len(p)) - 1] for c in cut if c < len(p)] for p in self.items]
-        self.block_max = [[max(w[c:c + POSTINGS]) for c in cut if c < len(w)] for w in self.weights]
-
-    def retrieve(self, terms: list[int], threshold: float) -> dict[int, float]:
-        """All items whose score for the distinct ``terms`` reaches ``threshold``: block-max WAND."""
-        items, found = [self.items[t] for t in terms], {}
-        bound, at = [float(self.bound[t]) for t in terms], [0] * len(terms)
-        now = [p[0] for p in items]
-        order = list(range(len(terms)))
+        self.block_items = max(BLOCK_ITEMS, -(-len(docs) // BLOCKS))
+        self.blocks = -(-len(docs) // self.block_items)
+        #: Per term and block with postings of it: the block, the largest weight, and the postings (item, weight).
+        self.start, self.block, self.most, self.postings = [0], [], [], []
+        for p in found.values():
+            cut: dict[int, list] = {}
+            for i, x in p:
+                cut.setdefault(i // self.block_items, []).append((i, x))
+            for k, own in cut.items():
+                self.block.append(k), self.most.append(max(x for _, x in own)), self.postings.append(own)
+            self.start.append(len(self.block))
+        self.start, self.block = np.array(self.start, np.int64), np.array(self.block, np.int64)
+        self.most = np.array(self.most, np.float64)
+        #: Per term: its postings and their largest weight by block.
+        self.lists = [{int(self.block[k]): (self.postings[k], float(self.most[k])) for k in range(a, b)}
+                      for a, b in zip(self.start[:-1].tolist(), self.start[1:].tolist())]
+
+    def retrieve(self, terms: list[int], block: int, threshold: float) -> dict[int, float]:
+        """All items of a block whose score for the distinct ``terms`` reaches ``threshold``: WAND with the block's maxima."""
+        held, found = [x for t in terms if (x := self.lists[t].get(block))], {}
+        if sum(most for _, most in held) < threshold:
+            return found
+        lists, bound = [p for p, _ in held], [most for _, most in held]
+        at, now = [0] * len(lists), [p[0][0] for p in lists]
+        order = list(range(len(lists)))
 
         def advance(k: int, item: int) -> None:
-            at[k] = bisect.bisect_left(items[k], item, at[k])
-            now[k] = items[k][at[k]] if at[k] < len(items[k]) else _END
+            at[k] = bisect.bisect_left(lists[k], (item,), at[k])
+            now[k] = lists[k][at[k]][0] if at[k] < len(lists[k]) else _END
 
         while True:
             order.sort(key=now.__getitem__)
@@ -97,52 +111,52 @@ class Index:
             item = now[order[pivot]]
             while pivot + 1 < len(order) and now[order[pivot + 1]] == item:
                 pivot += 1
-            ahead, blocks, best = order[:pivot + 1], [], 0.0
-            for k in ahead:
-                b = bisect.bisect_left(self.block_last[terms[k]], item)
-                if b < len(self.block_last[terms[k]]):
-                    blocks.append(self.block_last[terms[k]][b])
-                    best += self.block_max[terms[k]][b]
-            if best < threshold:  # no item up to the next block's end can reach it
-                after = min([min(blocks) + 1, *(now[k] for k in order[pivot + 1:pivot + 2])])
-                for k in ahead:
-                    advance(k, max(after, item + (not blocks)))
-            elif now[order[0]] == item:
-                score = sum(self.weights[terms[k]][at[k]] for k in ahead)
+            if now[order[0]] == item:
+                score = sum(lists[k][at[k]][1] for k in order[:pivot + 1])
                 if score >= threshold:
                     found[item] = score
-                for k in ahead:
-                    advance(k, item + 1)
-            else:
-                for k in ahead:
-                    advance(k, item)
+                item += 1
+            for k in order[:pivot + 1]:
+                advance(k, item)
+
+    def bounds(self, cells: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
+        """Upper bounds (cells x blocks): the terms' block maxima summed over each cell's distinct terms."""
+        width = self.start[terms + 1] - self.start[terms]
+        first = np.cumsum(width) - width
+        at = np.arange(int(width.sum())) + np.repeat(self.start[terms] - first, width)
+        keys = np.repeat(cells * self.blocks, width) + self.block[at]
+        return np.bincount(keys, self.most[at], n * self.blocks).reshape(n, self.blocks)
 
     def matches(self, texts: list[bytes], threshold: float, overlap: float) -> list[tuple]:
         """(row, item, score, question share, answer share), the best passage for each row and item."""
-        if not len(self.bound):
+        if not self.term:
             return []
         term, size, found = self.term, self.size, {}
         rows = [words(t) for t in texts]
-        counts = np.array([-(-len(ws) // size) for ws in rows], np.int64)  # blocks of a row; a passage is two of them
+        counts = np.array([-(-len(ws) // size) for ws in rows], np.int64)  # cells of a row; a passage is two of them
         first = np.concatenate([[0], np.cumsum(counts)])
         ids = np.array([term.get(w, -1) for ws in rows for w in ws], np.int64)
         lengths = np.array([len(ws) for ws in rows], np.int64)
         place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        block = np.repeat(first[:-1], lengths) + place // size
+        cell = np.repeat(first[:-1], lengths) + place // size
         known = ids >= 0
-        held = np.unique(block[known] * len(self.bound) + ids[known])
-        block, ids = held // len(self.bound), held % len(self.bound)
-        most = np.bincount(block, self.bound[ids], first[-1] + 1)
-        last = np.zeros(first[-1] + 1, bool)
+        held = np.unique(cell[known] * len(term) + ids[known])
+        cell, ids, n = held // len(term), held % len(term), int(first[-1])
+        most = self.bounds(cell, ids, n)
+        last = np.zeros(n, bool)
         last[first[1:][counts > 0] - 1] = True
-        most[:-1] += np.where(last[:-1], 0, most[1:])
-        starts = np.searchsorted(block, np.arange(first[-1] + 2))
-        for b in np.flatnonzero(most[:-1] >= threshold).tolist():
-            upto = starts[b + 1] if last[b] else starts[b + 2]
-            got = self.retrieve(np.unique(ids[starts[b]:upto]).tolist(), threshold)
+        follows = np.flatnonzero(~last)
+        both = most.copy()
+        both[follows] += most[follows + 1]  # a term in both cells counts twice: still a bound
+        starts = np.searchsorted(cell, np.arange(n + 2))
+        for c in np.flatnonzero((both >= threshold).any(1)).tolist():
+            terms = np.unique(ids[starts[c]:starts[c + 1 if last[c] else c + 2]]).tolist()
+            got = {}
+            for block in np.flatnonzero(both[c] >= threshold).tolist():
+                got |= self.retrieve(terms, block, threshold)
             if got:
-                row = int(np.searchsorted(first, b, "right")) - 1
-                at = (b - first[row]) * size
+                row = int(np.searchsorted(first, c, "right")) - 1
+                at = (c - int(first[row])) * size
                 grams = shingles(rows[row][at:at + 2 * size])
                 for item, score in got.items():
                     q, a = (len(x & grams) / len(x) for x in self.parts[item])
@@ -178,7 +192,7 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     out = None
     for ids, index in _indexes(items, item_id_col, item_text_col):
         def run(batches, ids=ids, index=index):
-            for b in batches:
+            for b in tx.slices(batches, 1):
                 got = index.value.matches(b.column(1).cast(pa.binary()).to_pylist(), threshold, overlap)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array([g[0] for g in got], pa.int64())), pa.array([g[1] for g in got], pa.int64()),
@@ -198,7 +212,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     at = docs.columns.index(text_col)
     for _, index in _indexes(items, item_id_col, item_text_col):
         def run(batches, index=index):
-            for b in batches:
+            for b in tx.slices(batches, at):
                 texts = [t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()]
                 hit = {g[0] for g in index.value.matches(texts, threshold, overlap)}
                 yield b.filter(pa.array([k not in hit for k in range(b.num_rows)], pa.bool_()))
