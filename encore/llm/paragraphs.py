@@ -199,15 +199,17 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY,
     colliding = staged(
         _band_rows(src).repartition("band").groupBy("band", "content").agg(F.sum("copies").alias("copies"))
         .withColumn("members", F.count(F.lit(1)).over(per_band)).where("members > 1 OR copies > 1"), "bands")
-    found = staged(_occurrences(src).join(colliding.select("content").distinct(), "content", "left_semi"), "paragraphs")
+    # Aggregates are written before they are joined: a join of two plain shuffles can split a hot content or component.
+    wanted = staged(colliding.select("content").distinct(), "contents")
+    found = staged(_occurrences(src).join(wanted, "content", "left_semi"), "paragraphs")
     lists = colliding.where("members > 1").select("band", "content", "members")
     roots = components(_links(lists, found.select("content", "words").dropDuplicates(["content"]), similarity))
     placed = found.drop("words").dropDuplicates(["doc_id", "paragraph", "content"]).join(
         roots, F.col("content") == F.col("node"), "left").select(
         "doc_id", "paragraph", "n_words", F.coalesce("root", "content").alias("component"))
     placed = staged(placed, "placed")
-    first = placed.groupBy("component").agg(
-        F.min(F.struct("doc_id", "paragraph")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = staged(placed.groupBy("component").agg(
+        F.min(F.struct("doc_id", "paragraph")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
     return placed.join(first, "component").select(
         "doc_id", "paragraph", "n_words", F.col("kept.doc_id").alias("kept_doc_id"),
         F.col("kept.paragraph").alias("kept_paragraph"),

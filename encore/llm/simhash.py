@@ -146,7 +146,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     # Fingerprints without a link are their own component; both tables have one row per fingerprint.
     placed = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written before it is joined: a join of two plain shuffles can split a hot component.
+    named = staged(placed.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     ids = placed.join(named, "root").select("fp", "component_id")
     return marked.join(ids, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
