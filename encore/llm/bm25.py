@@ -51,6 +51,7 @@ class Index:
     def __init__(self, texts: list[bytes]):
         docs = [words(t) for t in texts]
         self.size = max([len(d) for d in docs], default=0) or 1
+        self.name = hash(tuple(texts))
         self.parts = []
         for t, d in zip(texts, docs):
             sentences = [s for s in map(words, re.split(rb"(?<=[.!?])\s+", t)) if s]
@@ -192,8 +193,9 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     out = None
     for ids, index in _indexes(items, item_id_col, item_text_col):
         def run(batches, ids=ids, index=index):
+            held = tx.per_worker(("items", index.value.name), lambda: index.value)
             for b in tx.slices(batches, 1):
-                got = index.value.matches(b.column(1).cast(pa.binary()).to_pylist(), threshold, overlap)
+                got = held.matches(b.column(1).cast(pa.binary()).to_pylist(), threshold, overlap)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array([g[0] for g in got], pa.int64())), pa.array([g[1] for g in got], pa.int64()),
                      *(pa.array([g[k] for g in got], pa.float64()) for k in (2, 3, 4))],
@@ -212,9 +214,10 @@ def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     at = docs.columns.index(text_col)
     for _, index in _indexes(items, item_id_col, item_text_col):
         def run(batches, index=index):
+            held = tx.per_worker(("items", index.value.name), lambda: index.value)
             for b in tx.slices(batches, at):
                 texts = [t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()]
-                hit = {g[0] for g in index.value.matches(texts, threshold, overlap)}
+                hit = {g[0] for g in held.matches(texts, threshold, overlap)}
                 yield b.filter(pa.array([k not in hit for k in range(b.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -67,7 +67,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _word_hashes():
-    return tx.per_worker("paragraph words", lambda: tx.Cached(lambda w: xxhash.xxh64_intdigest(w, 7)))
+    return tx.per_worker("paragraph words", lambda: tx.Cached(lambda w: xxhash.xxh64_intdigest(w, 7), 300_000))
 
 
 def _hashes(found: list, bands: bool):

@@ -59,8 +59,13 @@ _LOADED: dict = {}
 
 
 def per_worker(key, load):
-    """``load()`` once per Python worker process and key."""
+    """``load()`` once per Python worker process and key; the worker keeps the last one only.
+
+    A worker outlives an operator, so what one has remembered goes when the
+    next one begins.
+    """
     if key not in _LOADED:
+        _LOADED.clear()
         _LOADED[key] = load()
     return _LOADED[key]
 
