@@ -8,7 +8,9 @@ for all terms; a block whose terms' maxima cannot add up to the threshold is
 passed over, in the others WAND moves the lists from pivot to pivot.  A
 retrieved item counts if the passage also holds 0.8 or more of the five-word
 shingles of its question (all but its last sentence) and of its answer (its
-last sentence; an item of one sentence is both).
+last sentence; an item of one sentence is both).  A part of fewer than five
+words is a run of its own length; where the item has another part, the answer
+must then begin within five words after words of the question.
 """
 
 from __future__ import annotations
@@ -41,8 +43,27 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
+def runs(ws: list[bytes], n: int) -> list[tuple]:
+    """All runs of n words, by place."""
+    return list(zip(*(ws[k:] for k in range(n))))
+
+
 def shingles(ws: list[bytes]) -> frozenset:
-    return frozenset(zip(*(ws[k:] for k in range(SHINGLE)))) if len(ws) >= SHINGLE else frozenset([tuple(ws)] if ws else [])
+    """Runs of up to five words: parts of items may be shorter than five."""
+    return frozenset(r for n in range(1, SHINGLE + 1) for r in runs(ws, n))
+
+
+def part(ws: list[bytes]) -> frozenset:
+    """The shingles of an item's part: five words each, or the whole part if it has fewer."""
+    return frozenset(runs(ws, min(SHINGLE, len(ws)))) if ws else frozenset()
+
+
+def adjoin(ws: list[bytes], question: frozenset, answer: frozenset) -> bool:
+    """Whether a shingle of the answer begins within ``SHINGLE`` words after one of the question."""
+    n, m = (len(next(iter(x))) for x in (question, answer))
+    ends = [k + n for k, r in enumerate(runs(ws, n)) if r in question]
+    starts = [k for k, r in enumerate(runs(ws, m)) if r in answer]
+    return any((k := bisect.bisect_left(starts, e)) < len(starts) and starts[k] <= e + SHINGLE for e in ends)
 
 
 class Index:
@@ -52,11 +73,12 @@ class Index:
         docs = [words(t) for t in texts]
         self.size = max([len(d) for d in docs], default=0) or 1
         self.name = hash(tuple(texts))
-        self.parts = []
+        self.parts, self.short = [], []
         for t, d in zip(texts, docs):
             sentences = [s for s in map(words, re.split(rb"(?<=[.!?])\s+", t)) if s]
             question = [w for s in sentences[:-1] for w in s]
-            self.parts.append((shingles(question or d), shingles(sentences[-1] if question else d)))
+            self.parts.append((part(question or d), part(sentences[-1] if question else d)))
+            self.short.append(bool(question) and min(len(question), len(sentences[-1])) < SHINGLE)
         df = Counter(w for d in docs for w in set(d))
         mean = sum(map(len, docs)) / max(1, len(docs)) or 1
         found: dict[bytes, list] = {}
@@ -158,10 +180,11 @@ class Index:
             if got:
                 row = int(np.searchsorted(first, c, "right")) - 1
                 at = (c - int(first[row])) * size
-                grams = shingles(rows[row][at:at + 2 * size])
+                passage = rows[row][at:at + 2 * size]
+                grams = shingles(passage)
                 for item, score in got.items():
                     q, a = (len(x & grams) / len(x) for x in self.parts[item])
-                    if q >= overlap and a >= overlap:
+                    if q >= overlap and a >= overlap and (not self.short[item] or adjoin(passage, *self.parts[item])):
                         found[row, item] = max(found.get((row, item), (0.0,)), (score, q, a))
         return [(*k, *v) for k, v in sorted(found.items())]
 

@@ -94,3 +94,20 @@ def test_empty_tables(spark):
     assert bm25.contamination(docs, items).count() == 0 and bm25.decontaminated(docs, items).count() == 1
     full = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
     assert bm25.contamination(docs.where("false"), full).count() == 0
+
+
+def test_short_questions_answers_and_items_are_found(spark):
+    texts = ["What is the name of the river near our town? Er.", "Who went there? The old man from the far green valley did.",
+             "Why not? Because.", "Only four words here.", "Er.", "Which of the two roads leads over the hill now? Left. One."]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    filler = "some filler words stand around the item on both sides of it in every text "
+    docs = [(k, filler * 3 + t.upper() + " " + filler * 3) for k, t in enumerate(texts)]
+    docs += [(10, filler + texts[0][:-4] + filler), (11, filler + "left one " + filler + texts[5][:-11] + filler),
+             (12, filler + texts[0][:-3] + "Answer: " + texts[0][-3:] + filler), (13, "not because why " + filler)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    folded = {d: b" ".join([b"", *bm25.words(t.encode()), b""]) for d, t in docs}
+    whole = {(d, i) for d, t in folded.items() for i, it in enumerate(texts)
+             if b" ".join([b"", *bm25.words(it.encode()), b""]) in t}
+    got = {(r.doc_id, r.item_id) for r in bm25.contamination(df, items).collect()}
+    assert {(k, k) for k in range(6)} <= whole and got == whole | {(12, 0)}
+    assert {r.doc_id for r in bm25.decontaminated(df, items).collect()} == {10, 11, 13}
