@@ -57,6 +57,10 @@ class PerfectHash:
         """From distinct 128-bit keys: those alone on a position of a level keep it, the others go on."""
         words, sizes, level = [], [], 0
         while len(h1):
+            if level == 1:  # equal keys are never alone
+                order = np.lexsort((h2, h1))
+                if np.any((np.diff(h1[order]) == 0) & (np.diff(h2[order]) == 0)):
+                    raise ValueError("equal keys")
             m = 64 * math.ceil(max(64, GAMMA * len(h1)) / 64)
             at = (_mix(h1, h2, level) % np.uint64(m)).astype(np.int64)
             alone = np.bincount(at, minlength=m)[at] == 1
@@ -174,8 +178,8 @@ def _starts(shards: DataFrame) -> DataFrame:
 
 def _records(written: DataFrame, shards: DataFrame) -> DataFrame:
     """The written documents with j: how many shards earlier their doc_id began (it then ended each one's range)."""
-    first = shards.where(F.col("last_id").isNotNull()).groupBy("last_id").agg(F.min("shard").alias("first_shard"))
-    return written.join(F.broadcast(first), F.col("doc_id") == F.col("last_id"), "left").select(
+    first = shards.groupBy("last_id").agg(F.min("shard").alias("first_shard"))  # null: a shard of null ids only
+    return written.join(F.broadcast(first), F.col("doc_id").eqNullSafe(F.col("last_id")), "left").select(
         "doc_id", (F.col("shard") - F.coalesce("first_shard", "shard")).cast("bigint").alias("j"),
         "k", "shard", "offset", "n_tokens")
 

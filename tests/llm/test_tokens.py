@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -90,6 +91,34 @@ def test_token_store_repeated_null_and_empty(spark):
     assert token_store.lookup(none, none.records).count() == 0
 
 
+def test_token_store_null_ids_over_many_shards(spark):
+    rows = [(None, f"null {i}") for i in range(60)] + [(i, f"text {i}") for i in range(40)]
+    forced = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    before = {k: spark.conf.get(k) for k in forced}
+    try:
+        for k, v in forced.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+        store = token_store.write_store(df, WORDS, 2)
+        keys = store.records.collect()
+        assert len({r.shard for r in keys if r.doc_id is None}) > 2
+        assert len({(r.doc_id, r.j, r.k) for r in keys}) == len(rows)
+        out = token_store.read_documents(store, token_store.lookup(store, store.records)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tok = Tokenizer.from_file(WORDS)
+    assert sorted(np.frombuffer(r.ids, "<u4").tolist() for r in out) == sorted(tok.encode(t).ids + [2] for _, t in rows)
+    spans = sorted((r.start, r.n_tokens) for r in out)
+    assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and spans[0][0] == 0
+
+
+def test_perfect_hash_refuses_equal_keys():
+    h = np.arange(10, dtype=np.uint64)
+    with pytest.raises(ValueError):
+        token_store.PerfectHash.build(np.append(h, h[3]), np.append(h, h[3]))
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(1)
     h1, h2 = (rng.integers(0, 2**64, 5000, np.uint64) for _ in range(2))
