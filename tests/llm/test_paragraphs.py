@@ -123,3 +123,47 @@ def test_repeated_rows_and_empty(spark):
     got = {(r.doc_id, r.paragraph, r.removed) for r in P.repeated_paragraphs(df).collect()}
     assert got == {(None, 0, False), (7, 0, True), (9, 0, True)}
     assert P.repeated_paragraphs(df.where("false")).count() == 0
+
+
+def removed_words(spark, docs):
+    """Words left of each text, by doc_id."""
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    left = {r.doc_id: len(r.text.split()) for r in P.drop_repeated(df).collect()}
+    return {d: len(t.split()) - left.get(d, 0) for d, t in docs}
+
+
+def test_passages_planted_inside_sentences(spark):
+    rng = random.Random(11)
+    words = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    docs = []
+    for k in range(40):
+        passage = words(60)  # no mark, no line break
+        docs += [(2 * k, " ".join(words(rng.randrange(5, 40)) + passage + words(rng.randrange(5, 40)))),
+                 (2 * k + 1, " ".join(words(rng.randrange(5, 40)) + passage + words(rng.randrange(5, 40))))]
+    gone = removed_words(spark, docs)
+    found = [gone[2 * k + 1] for k in range(40)]
+    assert not any(gone[2 * k] for k in range(40))
+    assert all(n <= 60 for n in found) and sum(n > 0 for n in found) >= 38 and sum(found) > 0.4 * 40 * 60
+
+
+def test_passages_of_short_lines_and_sentences(spark):
+    rng = random.Random(12)
+    line = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    docs = []
+    for k in range(40):
+        end = rng.choice(["\n", ". "])
+        lines = lambda n: [line(rng.randrange(2, 8)) for _ in range(n)]  # noqa: E731, B023
+        passage = lines(20)
+        docs += [(2 * k + i, end.join(lines(rng.randrange(1, 9)) + passage + lines(rng.randrange(1, 9)))) for i in (0, 1)]
+    gone = removed_words(spark, docs)
+    assert not any(gone[2 * k] for k in range(40)) and all(gone[2 * k + 1] > 30 for k in range(40))
+
+
+def test_every_word_is_compared():
+    for _, t in corpus():
+        t = (t or "").encode().lower()
+        units = P.paragraphs(t)
+        assert all(len(ws) >= P.MIN_WORDS for _, ws in units[:-1])
+        compared = {k: ws for _, k, ws in P._long_paragraphs([t])}
+        if len(t.split()) >= P.MIN_WORDS:
+            assert all(compared[k][-len(ws):] == ws and len(compared[k]) >= P.MIN_WORDS for k, (_, ws) in enumerate(units))
