@@ -18,8 +18,6 @@ from . import text as tx
 
 #: Buckets of the hashed n-grams: the size of all that is counted or sent out.
 BUCKETS = 10_000
-#: Trusted documents used for the target multinomial at most (least id hashes first).
-TRUSTED = 20_000
 #: Mean log ratio below which a document goes.
 THRESHOLD = -0.05
 #: Fixed values of the contract: counted symbols, window length.
@@ -79,15 +77,14 @@ def base_rules(docs: DataFrame) -> DataFrame:
     ).withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, max_trusted: int = TRUSTED) -> list[float]:
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Each bucket's log ratio; all documents count for the raw side, ``trusted`` (doc_id) for the target side.
 
-    The counts come from one pass that sends at most ``buckets`` rows per
-    task; the trusted ids sent to the tasks are at most ``max_trusted``.
+    The counts come from one pass that sends at most ``buckets``
+    rows per task; how the trusted ids meet the documents is left to the plan.
     """
-    ids = (trusted.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted).withColumn("target", F.lit(1)))
-    counts = (docs.join(F.broadcast(ids), "doc_id", "left")
+    ids = trusted.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn("target", F.lit(1))
+    counts = (docs.join(ids, "doc_id", "left")
               .select(F.explode(ngram_buckets(F.col("text"), buckets)).alias("bucket"), "target")
               .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("target").alias("target")).collect())
     raw, target = [1] * buckets, [1] * buckets
@@ -105,7 +102,7 @@ def score(text: Column, ratios: list[float]) -> Column:
 
 
 def quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
-            max_trusted: int = TRUSTED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The counted rules, llr and kept of every document; ``trusted`` lists trusted documents by doc_id.
 
     Null or empty text: no words, so base_failed and not kept.  Repeated rows
@@ -114,15 +111,15 @@ def quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, b
     Other columns are ignored; an empty table gives an empty result.
     """
     src = tx.id_text(docs, id_col, text_col)
-    ratios = log_ratios(src, trusted, buckets, max_trusted)
+    ratios = log_ratios(src, trusted, buckets)
     scored = base_rules(src).withColumn("llr", score(F.col("text"), ratios)).drop("text")
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
 
 def kept_documents(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
-                   max_trusted: int = TRUSTED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`quality` keeps; the text is read in place, nothing is joined."""
-    ratios = log_ratios(tx.id_text(docs, id_col, text_col), trusted, buckets, max_trusted)
+    ratios = log_ratios(tx.id_text(docs, id_col, text_col), trusted, buckets)
     text = F.coalesce(tx.col(text_col), F.lit(""))
     fair = _let(words(text), lambda ws: (F.size(ws) >= 20) & (100 * repeated_words(ws) <= 30 * F.size(ws)))
     return docs.where(fair & (score(text, ratios) >= threshold))

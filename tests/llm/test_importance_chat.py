@@ -137,3 +137,8 @@ def test_sql_on_test_tables(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{SF_SMALL}/conversations.parquet')")
     assert got == sorted(con.execute(E.oracle_sql()[name]).fetchall())
+
+
+def test_all_trusted_documents_count(spark):
+    docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 7).alias("text"))
+    assert set(importance.log_ratios(docs, docs.select("doc_id"), buckets=50)) == {0.0}  # both sides are the same
