@@ -80,10 +80,12 @@ def base_rules(docs: DataFrame) -> DataFrame:
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Each bucket's log ratio; all documents count for the raw side, ``trusted`` (doc_id) for the target side.
 
-    The counts come from one pass that sends at most ``buckets``
-    rows per task; how the trusted ids meet the documents is left to the plan.
+    The counts come from one pass that sends at most ``buckets`` rows per
+    task.  Both sides grow with the corpus, so the plan is a sort-merge join at
+    every size: each text moves once, on any number of documents.
     """
-    ids = trusted.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn("target", F.lit(1))
+    ids = trusted.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn(
+        "target", F.lit(1)).hint("merge")
     counts = (docs.join(ids, "doc_id", "left")
               .select(F.explode(ngram_buckets(F.col("text"), buckets)).alias("bucket"), "target")
               .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("target").alias("target")).collect())
