@@ -1,11 +1,11 @@
-"""The ten operators over the test tables, with their production parameters."""
+"""The operators over the test tables, with their production parameters."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bm25, bpe_count, chat, importance, kneser_ney, lattice, packing, paragraphs, simhash, token_store
+from . import bm25, bpe_count, chat, importance, kneser_ney, lattice, merkle, packing, paragraphs, simhash, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,9 +69,17 @@ def op10_best_fit_packing(spark, sf_dir):
                                     end_id=0, max_len=2048)
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    """Leaf, subroot, root and checked proof of every document."""
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op2_kneser_ney_quality, op3_lattice_scores, op4_quality_rules, op5_paragraph_dedup, op6_chat_collapse, op7_token_store, op8_decontamination, op9_token_counts, op10_best_fit_packing)}
+    return {f.__name__: f for f in (
+        op1_simhash, op2_kneser_ney_quality, op3_lattice_scores, op4_quality_rules, op5_paragraph_dedup,
+        op6_chat_collapse, op7_token_store, op8_decontamination, op9_token_counts, op10_best_fit_packing,
+        op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_collapse": chat.SQL}
+    return {"op6_chat_collapse": chat.SQL, "op13_merkle_manifest": merkle.SQL}
