@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bm25, bpe_count, chat, importance, kneser_ney, lattice, merkle, packing, paragraphs, simhash, spelling, token_store
+from . import bm25, bpe_count, chat, importance, kneser_ney, lattice, merkle, packing, paragraphs, simhash, spelling, token_store, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op10_best_fit_packing(spark, sf_dir):
                                     end_id=0, max_len=2048)
 
 
+def op11_toxicity(spark, sf_dir):
+    """Toxicity of every document's restored text, learned from the training labels."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op12_spelling_variants(spark, sf_dir):
     """Every word of three or more occurrences, its near words, form and root."""
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
@@ -83,7 +88,7 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         op1_simhash, op2_kneser_ney_quality, op3_lattice_scores, op4_quality_rules, op5_paragraph_dedup,
         op6_chat_collapse, op7_token_store, op8_decontamination, op9_token_counts, op10_best_fit_packing,
-        op12_spelling_variants, op13_merkle_manifest)}
+        op11_toxicity, op12_spelling_variants, op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
