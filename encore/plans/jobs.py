@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.dates import day_minus, day_range
 from ..sinks import tables as W
-from ..sources.tables import read_client_log, read_range, read_table
+from ..sources.tables import read_client_log, read_day, read_range, read_table
 from . import client_log, machines, rsi, songs, users
 
 
@@ -44,6 +44,8 @@ class Tables:
     song_info: str = "to_song_info_d"
     song_base: str = "tw_song_baseinfo_d"
     song_features: str = "tw_song_ftur_d"
+    song_state: str = "tw_song_state_d"
+    song_sketches: str = "tw_song_sketches_d"
     song_rsi: str = "tw_song_rsi_d"
     singer_rsi: str = "tw_singer_rsi_d"
     reg_alipay: str = "to_user_alipay_info_d"
@@ -73,6 +75,8 @@ def create_warehouse(spark: SparkSession, t: Tables = Tables(), location: str |
     W.create_table(spark, t.log_rejects, LOG_REJECTS, location=loc(t.log_rejects))
     W.create_table(spark, t.song_base, schemas.SONG_BASE, partition_col=None, location=loc(t.song_base))
     W.create_table(spark, t.song_features, schemas.SONG_FEATURES, location=loc(t.song_features))
+    W.create_table(spark, t.song_state, schemas.SONG_STATE, location=loc(t.song_state))
+    W.create_table(spark, t.song_sketches, schemas.SONG_SKETCHES, location=loc(t.song_sketches))
     W.create_table(spark, t.song_rsi, schemas.SONG_RSI, location=loc(t.song_rsi))
     W.create_table(spark, t.singer_rsi, schemas.SINGER_RSI, location=loc(t.singer_rsi))
     W.create_table(spark, t.login_detail, schemas.LOGIN_DETAIL, location=loc(t.login_detail))
@@ -107,13 +111,32 @@ def build_song_base(spark: SparkSession, t: Tables = Tables(), tz: str = "UTC")
     W.overwrite_table(songs.base_info(read_table(spark, t.song_info), tz), t.song_base)
 
 
+def update_song_state(spark: SparkSession, data_dt: str, t: Tables = Tables(), distinct: str = "exact",
+                      optrate_types: list[str] | None = None) -> None:
+    """A day's state (``exact``) or sketches (``approx``) from that day's plays, replacing what was kept of it.
+
+    To be run when a day has been loaded and again when rows for it arrive late.
+    """
+    plays = songs.counted_plays(read_day(read_table(spark, t.play), data_dt), optrate_types)
+    if distinct == "approx":
+        W.overwrite_partition(songs.sketches(plays), t.song_sketches, data_dt)
+    else:
+        W.overwrite_partition(songs.song_state(plays), t.song_state, data_dt)
+
+
 def build_song_features(spark: SparkSession, first_day: str, last_day: str | None = None,
-                        t: Tables = Tables(), peak: str = "total") -> None:
-    """Features for every day in ``[first_day, last_day]`` in one pass; the
-    play log is pruned to ``[first_day - 30, last_day]`` partitions."""
+                        t: Tables = Tables(), peak: str = "total", source: str = "plays", inclusive: bool = True,
+                        optrate_types: list[str] | None = None, mode: str = "reference") -> None:
+    """Features for every day in ``[first_day, last_day]`` in one pass over the
+    days ``[first_day - 30, last_day]`` of the play log (``source="plays"``),
+    or of what :func:`update_song_state` keeps of them (``"state"``,
+    ``"sketches"``): a day's run then merges 31 small partitions."""
     last_day = last_day or first_day
-    plays = read_range(read_table(spark, t.play), day_minus(first_day, 30), last_day)
-    f = songs.features(plays, read_table(spark, t.song_base), first_day, last_day, peak=peak)
+    table, merge = {"plays": (t.play, songs.features), "state": (t.song_state, songs.features_from_state),
+                    "sketches": (t.song_sketches, songs.features_from_sketches)}[source]
+    rows = read_range(read_table(spark, table), day_minus(first_day, 30), last_day)
+    only = {"optrate_types": optrate_types} if source == "plays" else {}
+    f = merge(rows, read_table(spark, t.song_base), first_day, last_day, peak=peak, mode=mode, inclusive=inclusive, **only)
     W.overwrite_days(f, t.song_features, day_range(first_day, last_day))
 
 

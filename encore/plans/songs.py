@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import songs as S
-from ..operators.trailing import trailing_stats
+from ..operators.trailing import daily_state, sketch_state, trailing_from_sketches, trailing_from_state, trailing_stats
 
 
 def base_info(song_info: DataFrame, tz: str = "UTC", mode: str = "reference") -> DataFrame:
@@ -41,7 +41,7 @@ _DIM_COLS = ["name", "source", "album", "prdct", "lang", "video_format", "dur",
 
 def features(plays: DataFrame, base: DataFrame, first_day: str | None = None,
              last_day: str | None = None, peak: str = "total", mode: str = "reference",
-             optrate_types: list[str] | None = None, inclusive: bool = True) -> DataFrame:
+             optrate_types: list[str] | None = None, inclusive: bool = True, distinct: str = "exact") -> DataFrame:
     """Per song and day with plays: counts, distinct users and distinct orders
     for the day, the 7-day and the 30-day windows, window peaks, joined to the
     song dimension.  One scan of the play log for every day in the range.
@@ -54,15 +54,60 @@ def features(plays: DataFrame, base: DataFrame, first_day: str | None = None,
       for its window columns; likes (``supp*``) are 0 as there is no like log
     * ``optrate_types`` restricts which operation types count as plays
       (default: all of them, as the warehouse does)
+    * ``distinct="approx"`` estimates distinct users and orders from sketches
+      of fixed size per song and day, merged over a window's days
     """
-    if peak not in ("total", "daily"):
-        raise ValueError("peak must be 'total' or 'daily'")
+    if distinct not in ("exact", "approx"):
+        raise ValueError("distinct must be 'exact' or 'approx'")
+    plays = counted_plays(plays, optrate_types)
+    if distinct == "approx":
+        return features_from_sketches(sketches(plays), base, first_day, last_day, peak, mode, inclusive)
+    stats = trailing_stats(plays, *_WINDOWED, _spans(inclusive), _DISTINCT, first_day, last_day)
+    return _features(stats, base, peak, mode, _spans(inclusive))
+
+
+_WINDOWED, _DISTINCT = ("songid", "data_dt"), ("uid", "order_id")
+
+
+def _spans(inclusive: bool) -> tuple[int, int]:
+    return (7, 30) if inclusive else (6, 29)
+
+
+def counted_plays(plays: DataFrame, optrate_types: list[str] | None = None) -> DataFrame:
+    """The columns of the play log that features need, of the operation types that count."""
     if optrate_types is not None:
         plays = plays.where(F.col("optrate_type").isin(list(optrate_types)))
-    w7, w30 = (7, 30) if inclusive else (6, 29)
-    stats = trailing_stats(plays.select("songid", "data_dt", "uid", "order_id"),
-                           key="songid", day="data_dt", spans=(w7, w30),
-                           distinct=("uid", "order_id"), first_day=first_day, last_day=last_day)
+    return plays.select("songid", "data_dt", "uid", "order_id")
+
+
+def song_state(plays: DataFrame, optrate_types: list[str] | None = None) -> DataFrame:
+    """Each day's part of the features (:data:`schemas.SONG_STATE`), from that day's plays alone."""
+    return daily_state(counted_plays(plays, optrate_types), *_WINDOWED, _DISTINCT).select(*schemas.SONG_STATE.names)
+
+
+def features_from_state(state: DataFrame, base: DataFrame, first_day: str | None = None, last_day: str | None = None,
+                        peak: str = "total", mode: str = "reference", inclusive: bool = True) -> DataFrame:
+    """:func:`features` merged from kept :func:`song_state` days, without reading the play log."""
+    stats = trailing_from_state(state, *_WINDOWED, _spans(inclusive), _DISTINCT, first_day, last_day)
+    return _features(stats, base, peak, mode, _spans(inclusive))
+
+
+def sketches(plays: DataFrame) -> DataFrame:
+    """Per song and day: plays, and sketches of its users and orders, of a size that does not grow with either."""
+    return sketch_state(plays, *_WINDOWED, _DISTINCT)
+
+
+def features_from_sketches(state: DataFrame, base: DataFrame, first_day: str | None = None, last_day: str | None = None,
+                           peak: str = "total", mode: str = "reference", inclusive: bool = True) -> DataFrame:
+    """:func:`features` with distinct counts estimated from kept :func:`sketches`."""
+    stats = trailing_from_sketches(state, *_WINDOWED, _spans(inclusive), _DISTINCT, first_day, last_day)
+    return _features(stats, base, peak, mode, _spans(inclusive))
+
+
+def _features(stats: DataFrame, base: DataFrame, peak: str, mode: str, spans: tuple[int, int]) -> DataFrame:
+    if peak not in ("total", "daily"):
+        raise ValueError("peak must be 'total' or 'daily'")
+    w7, w30 = spans
     known = F.col("songid").isNotNull() if mode == "reference" else F.lit(True)
 
     def windowed(col: str):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import users as U
 from ..functions.dates import window_bounds
+from ..operators.skew import skewed_left_join
 
 # Per channel: target column -> source column, "" literal, or None (NULL).
 # Fixed layout of the four registration sources.
@@ -53,17 +54,19 @@ def registrations(sources: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def login_detail(logins: DataFrame, regs: DataFrame, data_dt: str | None = None) -> DataFrame:
+def login_detail(logins: DataFrame, regs: DataFrame, data_dt: str | None = None, skewed: bool = False) -> DataFrame:
     """Each login of the day (every day when ``data_dt`` is None) with the
     user's registrations; a user in k channels gives k rows, an unregistered
     user one row of NULLs.
 
     Shuffle join on uid; a hot uid on the login side is split by AQE's skew
     handling (the registration side has at most one row per channel).
+    ``skewed`` finds hot uids first, deals their logins over tasks and keeps
+    logins without uid out of the shuffle: one more pass over the uid column.
     """
     if data_dt is not None:
         logins = logins.where(F.col("data_dt") == F.lit(str(data_dt)))
-    joined = logins.join(regs, ["uid"], "left")
+    joined = skewed_left_join(logins, regs, "uid") if skewed else logins.join(regs, ["uid"], "left")
     c = F.col
     out = {
         "login_mode": U.login_mode(c("mode_type")),

@@ -18,7 +18,7 @@ from .functions import machines as FM
 from .functions import songs as FS
 from .functions import users as FU
 from . import schemas
-from .functions.dates import day_minus, window_bounds
+from .functions.dates import day_minus, day_range, window_bounds
 from .plans import client_log, jobs, machines, rsi, songs, users
 from .sinks import tables as W
 from .sources import fixtures as fx
@@ -180,6 +180,47 @@ def song_features_play_ops(spark, d):
     return songs.features(_plays(spark, d), _base(spark, d), optrate_types=["0"])
 
 
+def song_features_incremental(spark, d):
+    """Features merged from kept daily state: 34 days are loaded, but one lacks its song requests; when these arrive
+    only that day's state is computed anew, and the days from it on are merged again."""
+    plays, last = _plays(spark, d).where(F.col("data_dt").isNotNull()), latest_day(_plays(spark, d))
+    (play, play_path), (state, state_path), (base, base_path), (feats, feats_path) = (_scratch(spark) for _ in range(4))
+    t = jobs.Tables(play=play, song_state=state, song_base=base, song_features=feats)
+    for name, schema, path in ((play, schemas.SONG_PLAY, play_path), (state, schemas.SONG_STATE, state_path),
+                               (feats, schemas.SONG_FEATURES, feats_path)):
+        W.create_table(spark, name, schema, location=path)
+    W.create_table(spark, base, schemas.SONG_BASE, partition_col=None, location=base_path)
+    W.overwrite_table(_base(spark, d), base)
+    late = day_minus(last, 3)
+    days = day_range(day_minus(late, 30), last)
+    in_time = plays.where((F.col("data_dt") != late) | (F.col("optrate_type") != "0"))
+    W.overwrite_days(in_time.where(F.col("data_dt").between(days[0], last)), play, days)
+    W.overwrite_days(songs.song_state(spark.table(play)), state, days)
+    jobs.build_song_features(spark, late, last, t, source="state")
+    W.append_partition(plays.where((F.col("data_dt") == late) & (F.col("optrate_type") == "0")), play, late)
+    jobs.update_song_state(spark, late, t)
+    jobs.build_song_features(spark, late, last, t, source="state")
+    return spark.table(feats)
+
+
+def song_features_approx(spark, d):
+    """Distinct users and orders from merged sketches, each against the exact count: within 5 % (three standard
+    errors of a sketch of 4,096 registers), or one where that is less."""
+    keys = ["nbr", "data_dt"]
+    exact = _features(spark, d)
+    approx = songs.features(_plays(spark, d), _base(spark, d), distinct="approx")
+    counts = [f"{c}{w}cnt" for w in ("", "7", "30") for c in ("user", "orderid")]
+    plain = [c for c in exact.columns if c not in counts and c not in keys]
+    both = exact.join(approx.select(*[F.col(c).alias(f"a_{c}") for c in [*keys, *plain, *counts]]),
+                      F.col("nbr").eqNullSafe(F.col("a_nbr")) & (F.col("data_dt") == F.col("a_data_dt")))
+    near = [(F.abs(F.col(f"a_{c}") - F.col(c)) <= F.greatest(F.lit(1), 0.05 * F.col(c))).alias(f"{c}_near") for c in counts]
+    same = [F.col(f"a_{c}").eqNullSafe(F.col(c)) for c in plain]
+    alike = same[0]
+    for x in same[1:]:
+        alike = alike & x
+    return both.select(*keys, "singcnt", "sing30cnt", alike.alias("rest_equal"), *near)
+
+
 def song_rsi(spark, d):
     """Song RSI ranked per day and period (all songs)."""
     return rsi.song_rsi(_features(spark, d))
@@ -216,6 +257,13 @@ def user_login_detail(spark, d):
     return _detail_history(spark, d)
 
 
+def user_login_skewed(spark, d):
+    """Login detail where a third of the logins has one uid and a third none: the uid is dealt over tasks, the
+    others never meet the shuffle."""
+    regs = users.registrations(fx.registrations(spark, d, gaps=True))
+    return users.login_detail(fx.logins(spark, d, skewed=True), regs, skewed=True)
+
+
 def user_login_mode(spark, d):
     """Login mode of every login."""
     lg = fx.logins(spark, d)
@@ -397,9 +445,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         log_song_play_intended, log_rejects,
         song_album_name, song_singer_info, song_post_time, song_auth_company, song_product_types,
         song_name_length, song_base_info, song_counts_one_pass, song_features, song_peak_daily,
-        song_features_play_ops, song_features_daily,
+        song_features_play_ops, song_features_daily, song_features_incremental, song_features_approx,
         song_rsi, song_rsi_top30, singer_rollup, singer_rsi, singer_rsi_top30,
-        user_registrations_union, user_login_detail, user_login_mode, user_score_cast,
+        user_registrations_union, user_login_detail, user_login_skewed, user_login_mode, user_score_cast,
         user_single_login, user_single_login_bounded,
         machine_id_universe, machine_location_repair, machine_location_repair_intended,
         machine_province_city, machine_compact_time, machine_mac_loc_join, machine_product_name,

@@ -31,6 +31,11 @@ LOG_ROUTED = _struct("request_type line")
 SONG_PLAY = _struct("songid mid optrate_type uid consume_type dur_time session_id songname pkg_id order_id",
                     DATA_DT)
 
+#: A day's part of the song features: rows (kind '#') and values seen (kind: their column).
+SONG_STATE = _struct("songid kind v", _long("n"), DATA_DT)
+SONG_SKETCHES = _struct("songid", _long("n"), T.StructField("s_uid", T.BinaryType()),
+                        T.StructField("s_order_id", T.BinaryType()), DATA_DT)
+
 # --- songs ------------------------------------------------------------------
 SONG_INFO = _struct(
     "nbr name other_name source album prdct lang video_format dur singer_info post_time pinyin_fst "

@@ -69,14 +69,42 @@ def overwrite_partition(df: DataFrame, table: str, data_dt: str, partition_col:
 def overwrite_days(df: DataFrame, table: str, days: list[str], partition_col: str = "data_dt") -> None:
     """Replace each of ``days`` by its rows of ``df``, a day without rows by nothing.
 
-    ``df`` is computed once, into a staged folder laid out by day.
+    ``df`` is computed once, into a staged folder laid out by day.  A parquet
+    table takes all days with rows in one write that replaces just these
+    partitions; days without rows are emptied where the table has them.
     """
-    path = stage_path(df.sparkSession)
+    spark, path, col = df.sparkSession, stage_path(df.sparkSession), F.col(partition_col)
     df.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(path)
-    staged = df.sparkSession.read.schema(df.schema).parquet(path)
-    for day in days:
-        overwrite_partition(staged.where(F.col(partition_col) == F.lit(day)), table, day, partition_col)
-    drop_stage(df.sparkSession, path)
+    staged = spark.read.schema(df.schema).parquet(path).where(col.isin(list(days)))
+    try:
+        about = _described(spark, table)
+        if about.get("Provider", "").lower() != "parquet":
+            for day in days:
+                overwrite_partition(staged.where(col == F.lit(day)), table, day, partition_col)
+            return
+        present = [r[0] for r in staged.select(partition_col).distinct().collect()]
+        if present:
+            staged.select(*spark.table(table).columns).hint("rebalance", partition_col).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(about["Location"])
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(
+                f"PARTITION (`{partition_col}` = '{d}')" for d in present))
+            spark.catalog.refreshTable(table)
+        known = partition_values(spark, table, partition_col)
+        for day in sorted(set(days) & known - set(present)):
+            overwrite_partition(staged.where("false"), table, day, partition_col)
+    finally:
+        drop_stage(spark, path)
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
+def partition_values(spark: SparkSession, table: str, partition_col: str = "data_dt") -> set[str]:
+    """The partitions the catalog has of ``table``: names only, no data is read."""
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    parts = [dict(x.split("=", 1) for x in r[0].split("/")) for r in rows]
+    return {p[partition_col] for p in parts}
 
 
 def append_partition(df: DataFrame, table: str, data_dt: str | None = None,

@@ -182,12 +182,15 @@ def client_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- users
-def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``to_user_login_info_d`` from orders."""
+def logins(spark: SparkSession, sf_dir: str, skewed: bool = False) -> DataFrame:
+    """``to_user_login_info_d`` from orders; ``skewed``: a third of the logins has one uid, a third has none."""
     o = _t(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
+    uid = _s("o_custkey")
+    if skewed:
+        uid = _case(k % 3, ["1", F.lit(None).cast("string")], uid)
     return o.select(
-        _s("o_custkey").alias("uid"), _s(k).alias("id"), _s(F.col("o_custkey") % 50).alias("mid"),
+        uid.alias("uid"), _s(k).alias("id"), _s(F.col("o_custkey") % 50).alias("mid"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("logintime"),
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 23:59:59")).alias("logouttime"),
         F.when(k % 7 == 5, F.lit("")).when(k % 7 == 6, F.lit(None).cast("string"))
