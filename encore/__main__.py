@@ -21,13 +21,14 @@ from .plans import jobs
 from .session import cluster_conf
 
 COMMANDS = ["create-warehouse", "client-log", "song-base", "song-features", "song-rsi", "singer-rsi",
-            "user-login", "machine-base"]
+            "user-login", "machine-base", "create-log", "load-log", "song-state"]
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="encore", description="karaoke warehouse daily jobs")
     p.add_argument("command", choices=COMMANDS)
-    p.add_argument("--day", help="yyyyMMdd day to build (first day of a range with --to)")
+    p.add_argument("--day", help="yyyyMMdd day to build (first day of a range with --to), or 'newest': the newest "
+                                 "partition of the command's input table")
     p.add_argument("--to", help="last day of a range (song-features)")
     p.add_argument("--database", help="database qualifying every table name")
     p.add_argument("--location", help="root folder for create-warehouse")
@@ -41,6 +42,13 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--tz", default="UTC", help="time zone of post times (song-base)")
     p.add_argument("--peak", default="total", choices=["total", "daily"], help="window peak (song-features)")
     p.add_argument("--append", action="store_true", help="add to the day instead of replacing it (client-log)")
+    p.add_argument("--exact-windows", action="store_true", help="windows of 7 and 30 days, not 8 and 31 (song-features, user-login)")
+    p.add_argument("--optrate-types", nargs="+", help="operation types that count as plays (song-features, song-state)")
+    p.add_argument("--bounded", action="store_true", help="single-login users: their rows inside the window only (user-login)")
+    p.add_argument("--skewed", action="store_true", help="deal hot user ids over tasks (user-login)")
+    p.add_argument("--source", default="plays", choices=["plays", "state", "sketches"],
+                   help="what features are merged from (song-features)")
+    p.add_argument("--distinct", default="exact", choices=["exact", "approx"], help="kind of state kept (song-state)")
     p.add_argument("--input-bytes", type=int, help="bytes the job reads; sizes shuffle partitions")
     p.add_argument("--executors", type=int, default=1000, help="executors of the cluster (with --input-bytes)")
     p.add_argument("--cores", type=int, default=4, help="cores of an executor (with --input-bytes)")
@@ -48,14 +56,24 @@ def _parser() -> argparse.ArgumentParser:
 
 
 #: Switches and the commands they act on; elsewhere they are refused.
-SWITCHES = {"mode": ("client-log", "machine-base"), "tz": ("song-base",), "peak": ("song-features",),
+SWITCHES = {"mode": ("client-log", "load-log", "song-base", "song-features", "machine-base"),
+            "exact_windows": ("song-features", "user-login"), "optrate_types": ("song-features", "song-state"),
+            "bounded": ("user-login",), "skewed": ("user-login",), "source": ("song-features",), "distinct": ("song-state",),
+            "tz": ("song-base",), "peak": ("song-features",),
             "append": ("client-log",), "to": ("song-features",)}
 
 
+#: Tables whose newest partition ``--day newest`` stands for.
+INPUTS = {"song-features": "play", "song-state": "play", "song-rsi": "song_features", "singer-rsi": "song_features",
+          "user-login": "logins"}
+
+
 def _refuse_idle(parser: argparse.ArgumentParser, a) -> None:
     for name, commands in SWITCHES.items():
         if getattr(a, name) != parser.get_default(name) and a.command not in commands:
-            parser.error(f"--{name} has no effect on {a.command}")
+            parser.error(f"--{name.replace('_', '-')} has no effect on {a.command}")
+    if a.day == "newest" and a.command not in INPUTS:
+        parser.error(f"--day newest has no meaning for {a.command}")
 
 
 def _tables(database: str | None) -> jobs.Tables:
@@ -82,20 +100,29 @@ def main(argv: list[str] | None = None) -> None:
         for k, v in cluster_conf(a.input_bytes, a.executors, a.cores).items():
             spark.conf.set(k, v)
     t, db = _tables(a.database), _jdbc(a)
+    if a.day == "newest":
+        a.day = jobs.newest(spark, getattr(t, INPUTS[a.command]))
     if a.command == "create-warehouse":
         jobs.create_warehouse(spark, t, a.location)
     elif a.command == "client-log":
         jobs.ingest_client_log(spark, a.log_path, a.day, a.routed_dir, t, append=a.append, mode=a.mode)
     elif a.command == "song-base":
-        jobs.build_song_base(spark, t, a.tz)
+        jobs.build_song_base(spark, t, a.tz, a.mode)
+    elif a.command == "create-log":
+        jobs.create_loaded_log(spark, t, a.location)
+    elif a.command == "load-log":
+        jobs.load_client_log(spark, a.log_path, a.day, a.routed_dir, t, mode=a.mode)
+    elif a.command == "song-state":
+        jobs.update_song_state(spark, a.day, t, a.distinct, a.optrate_types)
     elif a.command == "song-features":
-        jobs.build_song_features(spark, a.day, a.to, t, peak=a.peak)
+        jobs.build_song_features(spark, a.day, a.to, t, peak=a.peak, source=a.source, inclusive=not a.exact_windows,
+                                 optrate_types=a.optrate_types, mode=a.mode)
     elif a.command == "song-rsi":
         jobs.build_song_rsi(spark, a.day, t, db)
     elif a.command == "singer-rsi":
         jobs.build_singer_rsi(spark, a.day, t, db)
     elif a.command == "user-login":
-        jobs.build_user_login(spark, a.day, t, db)
+        jobs.build_user_login(spark, a.day, t, db, bounded=a.bounded, inclusive=not a.exact_windows, skewed=a.skewed)
     elif a.command == "machine-base":
         jobs.build_machine_base(spark, a.day, t, db, mode=a.mode)
 

@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 FIELD_SEP = "&"
 N_FIELDS = 6
 SONG_PLAY = "MINIK_CLIENT_SONG_PLAY_OPERATE_REQ"
+# Request types of the log format, each counted on its own by an ingest.
+REQUEST_TYPES = [SONG_PLAY, "MINIK_CLIENT_ADVERTISEMENT_RECORD", "MINIK_SERVER_GET_SONG_SELECT_LIST_REQ",
+                 "MINIK_CLIENT_REPORT_PKG_USE_STATUS"]
+OTHER_TYPE = "other"
 # The ten payload keys stored for a song-play request, in table order.
 SONG_PLAY_FIELDS = [
     "songid", "mid", "optrate_type", "uid", "consume_type",
@@ -63,3 +67,17 @@ def parse_payload(payload: Column, include_play_time: bool = False) -> Column:
 def payload_is_object(payload: Column) -> Column:
     """True when the payload parses as a JSON object."""
     return F.ltrim(payload).startswith("{")
+
+
+def payload_variant(payload: Column) -> Column:
+    """The payload as VARIANT, NULL when malformed: parsed once, whatever fields are taken from it."""
+    return F.try_parse_json(payload)
+
+
+#: Fields of the requests other than song plays, by type of the value.
+OTHER_FIELDS = {"mid": "bigint", "uid": "bigint", "event_id": "bigint"}
+
+
+def variant_fields(variant: Column, fields: dict[str, str] = OTHER_FIELDS) -> list[Column]:
+    """Typed fields of a VARIANT; a missing key or a value of another type is NULL."""
+    return [F.try_variant_get(variant, f"$.{name}", kind).alias(name) for name, kind in fields.items()]

@@ -5,11 +5,13 @@
                the ten stored fields, every other type passed through as JSON
 ``song_play``  the typed ten-column day table of song plays
 ``rejects``    song-play records whose payload is not a JSON object
+``requests``   typed fields of the other request types, and their rejects
+``counted``    lines and records observed while they pass, for ``load_counts``
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -118,3 +120,48 @@ def route(parsed: DataFrame, mode: str = "reference", include_play_time: bool =
 
 def song_play_from_lines(lines: DataFrame, data_dt: str, mode: str = "reference") -> DataFrame:
     return song_play(parse(lines, mode), data_dt, mode).select(*schemas.SONG_PLAY.names)
+
+
+def _variants(parsed: DataFrame) -> DataFrame:
+    others = parsed.where(F.col("request_type") != L.SONG_PLAY)
+    extra = [c for c in parsed.columns if c not in ("request_type", "payload")]
+    return _once(others, ["request_type", "payload", *extra], "_v", L.payload_variant(F.col("payload")))
+
+
+def requests(parsed: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+    """Typed payload fields of every request that is no song play (and the columns carried along).
+
+    The payload is parsed once into a VARIANT; ``fields`` maps names to types.
+    Malformed payloads are left out (see :func:`request_rejects`).
+    """
+    extra = [c for c in parsed.columns if c not in ("request_type", "payload")]
+    known = _variants(parsed).where(F.col("_v").isNotNull())
+    return known.select("request_type", *L.variant_fields(F.col("_v"), fields or L.OTHER_FIELDS), *extra)
+
+
+def request_rejects(parsed: DataFrame) -> DataFrame:
+    """Requests other than song plays whose payload is no JSON."""
+    return _variants(parsed).where(F.col("_v").isNull()).drop("_v")
+
+
+def counted_lines(lines: DataFrame, seen: Observation) -> DataFrame:
+    """``lines``, counted as they pass."""
+    return lines.observe(seen, F.count(F.lit(1)).alias("lines"))
+
+
+def counted_records(parsed: DataFrame, seen: Observation) -> DataFrame:
+    """``parsed``, its records counted by request type as they pass."""
+    of = F.col("request_type")
+    counts = [F.count_if(of == t).alias(t) for t in L.REQUEST_TYPES]
+    return parsed.observe(seen, *counts, F.count_if(~of.isin(L.REQUEST_TYPES)).alias(L.OTHER_TYPE))
+
+
+def load_counts(lines: Observation, records: Observation, rejected: Observation) -> list[tuple]:
+    """(metric, request_type, n): lines read, lines dropped by the gate, and records and rejects by type.
+
+    Lines are dropped and records together; no pass is made for them.
+    """
+    n, by_type = lines.get["lines"], records.get
+    out = [("lines", None, n), ("dropped", None, n - sum(by_type.values()))]
+    out += [("records", t, by_type[t]) for t in [*L.REQUEST_TYPES, L.OTHER_TYPE]]
+    return out + [("rejected", L.SONG_PLAY, rejected.get["rejected"])]

@@ -9,16 +9,18 @@ settings are arguments -- nothing is hard-coded.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.dates import day_minus, day_range
+from ..sinks import loads as L
 from ..sinks import tables as W
-from ..sources.tables import read_client_log, read_day, read_range, read_table
+from ..sources.tables import log_fan_out, log_files, newest_day, read_client_log, read_day, read_range, read_table
 from . import client_log, machines, rsi, songs, users
 
 
@@ -61,10 +63,14 @@ class Tables:
     store: str = "to_ycbk_store_d"
     machine_base: str = "tw_ycabk_mac_baseinfo_d"
     log_rejects: str = "to_client_log_rejects_d"
+    log_counts: str = "to_client_log_counts_d"
+    log_files: str = "to_client_log_files_d"
 
 
 LOG_REJECTS = T.StructType([T.StructField("request_type", T.StringType()), T.StructField("payload", T.StringType()),
                             schemas.DATA_DT])
+LOG_COUNTS = T.StructType([T.StructField("metric", T.StringType()), T.StructField("request_type", T.StringType()),
+                           T.StructField("n", T.LongType()), schemas.DATA_DT])
 
 
 def create_warehouse(spark: SparkSession, t: Tables = Tables(), location: str | None = None) -> None:
@@ -73,6 +79,7 @@ def create_warehouse(spark: SparkSession, t: Tables = Tables(), location: str |
         return f"{location}/{name}" if location else None
     W.create_table(spark, t.play, schemas.SONG_PLAY, location=loc(t.play))
     W.create_table(spark, t.log_rejects, LOG_REJECTS, location=loc(t.log_rejects))
+    W.create_table(spark, t.log_counts, LOG_COUNTS, location=loc(t.log_counts))
     W.create_table(spark, t.song_base, schemas.SONG_BASE, partition_col=None, location=loc(t.song_base))
     W.create_table(spark, t.song_features, schemas.SONG_FEATURES, location=loc(t.song_features))
     W.create_table(spark, t.song_state, schemas.SONG_STATE, location=loc(t.song_state))
@@ -84,31 +91,87 @@ def create_warehouse(spark: SparkSession, t: Tables = Tables(), location: str |
     W.create_table(spark, t.machine_base, machine_d, location=loc(t.machine_base))
 
 
+def _log_counts(spark: SparkSession, counts: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(counts, "metric string, request_type string, n bigint")
+
+
+def _read_log(spark: SparkSession, files: list[str] | str, mode: str, partitions: int):
+    """The log's records, written once, and what was observed on the way."""
+    lines, records = Observation(), Observation()
+    raw = client_log.counted_lines(read_client_log(spark, files), lines)
+    parsed = client_log.counted_records(client_log.parse(raw, mode, partitions), records)
+    return W.materialize(parsed), lines, records
+
+
 def ingest_client_log(spark: SparkSession, log_path: str, data_dt: str, routed_dir: str,
                       t: Tables = Tables(), partitions: int | None = None, append: bool = False,
                       mode: str = "reference") -> DataFrame:
     """Client log file(s) of a day -> text directories by request type, the
-    song-play table's day and the rejects table's day.
+    song-play table's day, the rejects table's day and the counts of the load.
 
     The lines are parsed once; table and text both come from that, so neither
-    depends on the other's format.  Returns the day's rejected records.
+    depends on the other's format.  Lines, records by type and rejects are
+    counted as they pass.  The fan-out after the read follows the files'
+    sizes.  ``append`` adds the rows whatever was loaded before;
+    :func:`load_client_log` takes each file in once.  Returns the day's
+    rejected records.
     """
+    partitions = partitions or log_fan_out(log_files(spark, log_path))
     with W.staged_folders(spark):
-        parsed = W.materialize(client_log.parse(read_client_log(spark, log_path), mode,
-                                                partitions or spark.sparkContext.defaultParallelism))
+        parsed, lines, records = _read_log(spark, log_path, mode, partitions)
         W.write_by_key(client_log.route(parsed, mode), f"{routed_dir}/{data_dt}")
-        plays, rejected = client_log.song_play(parsed, data_dt, mode), client_log.rejects(parsed)
-        if append:
-            W.append_partition(plays, t.play, data_dt)
-            W.append_partition(rejected, t.log_rejects, data_dt)
-        else:
-            W.overwrite_partition(plays, t.play, data_dt)
-            W.overwrite_partition(rejected, t.log_rejects, data_dt)
+        plays, seen = client_log.song_play(parsed, data_dt, mode), Observation()
+        rejected = client_log.rejects(parsed).observe(seen, F.count(F.lit(1)).alias("rejected"))
+        put = W.append_partition if append else W.overwrite_partition
+        put(plays, t.play, data_dt)
+        put(rejected, t.log_rejects, data_dt)
+        put(_log_counts(spark, client_log.load_counts(lines, records, seen)), t.log_counts, data_dt)
     return read_range(read_table(spark, t.log_rejects), data_dt, data_dt).select("request_type", "payload")
 
 
-def build_song_base(spark: SparkSession, t: Tables = Tables(), tz: str = "UTC") -> None:
-    W.overwrite_table(songs.base_info(read_table(spark, t.song_info), tz), t.song_base)
+def create_loaded_log(spark: SparkSession, t: Tables = Tables(), location: str | None = None) -> None:
+    """The log's tables partitioned by day and load, for :func:`load_client_log`."""
+    for name, schema in ((t.log_files, L.FILES), (t.log_rejects, LOG_REJECTS), (t.log_counts, LOG_COUNTS),
+                         (t.play, schemas.SONG_PLAY)):
+        L.create_loaded_table(spark, name, schema, f"{location}/{name}" if location else None)
+
+
+def load_client_log(spark: SparkSession, log_path: str, data_dt: str, routed_dir: str, t: Tables = Tables(),
+                    mode: str = "reference") -> int:
+    """Add to a day the log files under ``log_path`` that it has not yet; returns their number.
+
+    The tables are those of :func:`create_loaded_log`.  Files, rejects, counts
+    and plays of a load are committed together (:mod:`..sinks.loads`): a run
+    that fails leaves nothing behind, a run repeated adds nothing.
+    """
+    tables = [t.log_files, t.log_rejects, t.log_counts, t.play]
+    L.drop_unfinished(spark, tables, data_dt)
+    with W.staged_folders(spark):
+        files = W.materialize(L.new_files(log_files(spark, log_path), t.log_files, data_dt))
+        paths = [r.path for r in files.select("path").collect()]  # the reader lists its files on the driver anyway
+        if not paths:
+            return 0
+        parsed, lines, records = _read_log(spark, paths, mode, log_fan_out(files))
+        load = uuid.uuid4().hex
+        W.write_by_key(client_log.route(parsed, mode), f"{routed_dir}/{data_dt}/load_id={load}")
+        seen = Observation()
+        rejected = W.materialize(client_log.rejects(parsed).observe(seen, F.count(F.lit(1)).alias("rejected")))
+        L.write_load({t.log_files: files, t.log_rejects: rejected,
+                      t.log_counts: _log_counts(spark, client_log.load_counts(lines, records, seen)),
+                      t.play: client_log.song_play(parsed, data_dt, mode)}, data_dt, load)
+    return len(paths)
+
+
+def build_song_base(spark: SparkSession, t: Tables = Tables(), tz: str = "UTC", mode: str = "reference") -> None:
+    W.overwrite_table(songs.base_info(read_table(spark, t.song_info), tz, mode), t.song_base)
+
+
+def newest(spark: SparkSession, table: str) -> str:
+    """The newest day of a day table, from the catalog's partitions."""
+    day = newest_day(spark, table)
+    if day is None:
+        raise ValueError(f"{table} has no day yet")
+    return day
 
 
 def update_song_state(spark: SparkSession, data_dt: str, t: Tables = Tables(), distinct: str = "exact",
@@ -163,17 +226,34 @@ def build_singer_rsi(spark: SparkSession, data_dt: str, t: Tables = Tables(), jd
 
 
 def build_user_login(spark: SparkSession, data_dt: str, t: Tables = Tables(), jdbc: Jdbc | None = None,
-                     days: int = 7, jdbc_table: str = "tw_user_login_7_d") -> None:
+                     days: int = 7, jdbc_table: str = "tw_user_login_7_d", bounded: bool = False, inclusive: bool = True,
+                     skewed: bool = False) -> None:
     regs = users.registrations({
         "alipay": read_table(spark, t.reg_alipay), "wechat": read_table(spark, t.reg_wechat),
         "qq": read_table(spark, t.reg_qq), "app": read_table(spark, t.reg_app)})
-    detail = users.login_detail(read_table(spark, t.logins), regs, data_dt)
+    detail = users.login_detail(read_table(spark, t.logins), regs, data_dt, skewed)
     W.overwrite_partition(detail, t.login_detail, data_dt)
     if jdbc is not None:
-        single = users.single_login(read_table(spark, t.login_detail), data_dt, days)
+        single = users.single_login(read_table(spark, t.login_detail), data_dt, days, bounded, inclusive)
         jdbc.publish(single, jdbc_table, "append")
 
 
+def bucket_machine_sources(spark: SparkSession, t: Tables, bucketed: Tables, buckets: int,
+                           location: str | None = None) -> None:
+    """The machine sources of ``t`` written by machine id into the tables of ``bucketed``.
+
+    :func:`build_machine_base` on these joins them where they lie; only its
+    last join, by store, shuffles.
+    """
+    for name, schema, key in (("mac", schemas.MAC, "mid"), ("mac_loc", schemas.MAC_LOC, "mid"),
+                              ("mac_admin", schemas.MAC_ADMIN, "machine_num"),
+                              ("mac_store_map", schemas.MAC_STORE_MAP, "machine_num")):
+        table = getattr(bucketed, name)
+        W.create_table(spark, table, schema, partition_col=None, bucket_by=(key, buckets),
+                       location=f"{location}/{table}" if location else None)
+        W.overwrite_bucketed(read_table(spark, getattr(t, name)), table, key, buckets)
+
+
 def build_machine_base(spark: SparkSession, data_dt: str, t: Tables = Tables(), jdbc: Jdbc | None = None,
                        mode: str = "reference", jdbc_table: str = "tw_ycabk_mac_baseinfo_d") -> None:
     base = machines.base_info(read_table(spark, t.mac), read_table(spark, t.mac_loc),

@@ -40,11 +40,12 @@ def repair_locations(loc: DataFrame, mode: str = "reference") -> DataFrame:
         # yields its repaired form if it needs repair and its raw form if it
         # is usable (both when both hold).  Rows kept by the outer filter
         # satisfy at least one, so the filtered array is never empty.
+        # The id stays outside the generator: a table bucketed by it stays bucketed.
         forms = F.array(
-            F.struct(needs.alias("_keep"), *[repaired.get(n, F.col(n)).alias(n) for n in names]),
-            F.struct(usable.alias("_keep"), *[times.get(n, F.col(n)).alias(n) for n in names]))
+            F.struct(needs.alias("_keep"), *[repaired.get(n, F.col(n)).alias(n) for n in names if n != "mid"]),
+            F.struct(usable.alias("_keep"), *[times.get(n, F.col(n)).alias(n) for n in names if n != "mid"]))
         return (loc.where(needs | usable)
-                .select(F.inline_outer(F.filter(forms, lambda x: x["_keep"])))
+                .select("mid", F.inline_outer(F.filter(forms, lambda x: x["_keep"])))
                 .drop("_keep"))
     # One row per input row: repaired if it needs it, else as is when usable.
     fix = F.coalesce(needs, F.lit(False))

@@ -102,6 +102,16 @@ def log_rejects(spark, d):
     return client_log.rejects(_parsed(spark, d))
 
 
+def log_requests_typed(spark, d):
+    """Typed fields of every well-formed request that is no song play, from one VARIANT parse a line."""
+    return client_log.requests(_parsed(spark, d))
+
+
+def log_request_rejects(spark, d):
+    """Requests other than song plays whose payload is malformed."""
+    return client_log.request_rejects(_parsed(spark, d))
+
+
 # ----------------------------------------------------------------- songs
 def song_album_name(spark, d):
     """Album cleaning of every raw song."""
@@ -349,6 +359,18 @@ def machine_base_info(spark, d):
     return machines.base_info(m["mac"], m["loc"], m["admin"], m["store_map"], m["store"])
 
 
+def machine_base_info_bucketed(spark, d):
+    """The machine dimension from sources bucketed by machine id: only the store join shuffles."""
+    m, (suffix, path) = _m(spark, d, gaps=True), _scratch(spark)
+    raw = jobs.Tables(**{f: f"{suffix}_raw_{f}" for f in ("mac", "mac_loc", "mac_admin", "mac_store_map")})
+    own = jobs.Tables(**{f: f"{suffix}_{f}" for f in ("mac", "mac_loc", "mac_admin", "mac_store_map")})
+    for field, source in (("mac", "mac"), ("mac_loc", "loc"), ("mac_admin", "admin"), ("mac_store_map", "store_map")):
+        m[source].createOrReplaceTempView(getattr(raw, field))
+    jobs.bucket_machine_sources(spark, raw, own, buckets=8, location=path)
+    return machines.base_info(spark.table(own.mac), spark.table(own.mac_loc), spark.table(own.mac_admin),
+                              spark.table(own.mac_store_map), m["store"])
+
+
 # ----------------------------------------------------------------- sources and sinks
 def _scratch(spark):
     """A new table name and folder for a round trip through the catalog."""
@@ -374,9 +396,9 @@ def sink_overwrite_day(spark, d):
     by its song requests and the one before by nothing."""
     plays, (name, path) = _plays(spark, d), _scratch(spark)
     W.create_table(spark, name, schemas.SONG_PLAY, location=path)
-    for day in [day_minus(latest_day(plays), k) for k in range(3)]:
-        W.overwrite_partition(plays.where(F.col("data_dt") == day), name, day)
     last = latest_day(plays)
+    for day in [day_minus(last, k) for k in range(3)]:
+        W.overwrite_partition(plays.where(F.col("data_dt") == day), name, day)
     W.overwrite_partition(plays.where((F.col("data_dt") == last) & (F.col("optrate_type") == "0")), name, last)
     W.overwrite_partition(plays.where("false"), name, day_minus(last, 1))
     return spark.table(name)
@@ -401,9 +423,11 @@ def log_ingest_round_trip(spark, d):
     (play, play_path), (rej, rej_path) = _scratch(spark), _scratch(spark)
     log, routed = W.stage_path(spark), W.stage_path(spark)
     fx.client_log_lines(spark, d).write.option("compression", "gzip").text(log)
-    t = jobs.Tables(play=play, log_rejects=rej)
+    counts, counts_path = _scratch(spark)
+    t = jobs.Tables(play=play, log_rejects=rej, log_counts=counts)
     W.create_table(spark, play, schemas.SONG_PLAY, location=play_path)
     W.create_table(spark, rej, jobs.LOG_REJECTS, location=rej_path)
+    W.create_table(spark, counts, jobs.LOG_COUNTS, location=counts_path)
     jobs.ingest_client_log(spark, log, LOG_DAY, routed, t)
     text = spark.read.text(f"{routed}/{LOG_DAY}")
     table = spark.table(play).where(F.col("data_dt") == LOG_DAY)
@@ -413,6 +437,61 @@ def log_ingest_round_trip(spark, d):
         spark.table(rej).select(F.lit("rejects").alias("sink"), "request_type", F.col("payload").alias("line")))
 
 
+def _log_table_rows(spark, t):
+    """Plays, rejects and summed counts of a log's tables as (sink, line)."""
+    play = spark.table(t.play).where(F.col("data_dt") == LOG_DAY)
+    counts = spark.table(t.log_counts).groupBy("metric", "request_type").agg(F.sum("n").alias("n"))
+    return play.select(F.lit("table").alias("sink"), F.concat_ws(
+        "\t", *[c for c in schemas.SONG_PLAY.names if c != "data_dt"]).alias("line")).unionByName(
+        spark.table(t.log_rejects).select(F.lit("rejects").alias("sink"), F.col("payload").alias("line"))).unionByName(
+        counts.select(F.lit("counts").alias("sink"), F.concat_ws(" ", "metric", "request_type", F.col("n").cast("string")).alias("line")))
+
+
+def log_ingest_counts(spark, d):
+    """Lines, dropped lines, records by type and rejects of an ingest, counted while they pass (FLT1)."""
+    (play, play_path), (rej, rej_path), (counts, counts_path) = (_scratch(spark) for _ in range(3))
+    log = W.stage_path(spark)
+    fx.client_log_lines(spark, d).write.option("compression", "gzip").text(log)
+    t = jobs.Tables(play=play, log_rejects=rej, log_counts=counts)
+    for name, schema, path in ((play, schemas.SONG_PLAY, play_path), (rej, jobs.LOG_REJECTS, rej_path),
+                               (counts, jobs.LOG_COUNTS, counts_path)):
+        W.create_table(spark, name, schema, location=path)
+    jobs.ingest_client_log(spark, log, LOG_DAY, W.stage_path(spark), t)
+    return spark.table(counts).select("metric", "request_type", "n")
+
+
+def log_load_once(spark, d):
+    """Log files arrive in two goes, the second path naming the first files again and then all once more: each file is
+    taken in once (SNK3)."""
+    name, path = _scratch(spark)
+    t = jobs.Tables(play=f"{name}_play", log_rejects=f"{name}_rejects", log_counts=f"{name}_counts", log_files=f"{name}_files")
+    log = W.stage_path(spark)
+    jobs.create_loaded_log(spark, t, path)
+    lines = fx.client_log_lines(spark, d)
+    half = F.pmod(F.xxhash64("value"), F.lit(3))
+    routed = W.stage_path(spark)
+    lines.where(half == 0).write.option("compression", "gzip").text(f"{log}/go=1")
+    jobs.load_client_log(spark, f"{log}/go=1", LOG_DAY, routed, t)
+    lines.where(half != 0).write.option("compression", "gzip").text(f"{log}/go=2")
+    for _ in range(2):
+        jobs.load_client_log(spark, [f"{log}/go=1", f"{log}/go=2"], LOG_DAY, routed, t)
+    return _log_table_rows(spark, t)
+
+
+def song_features_newest(spark, d):
+    """Features of the newest day a play table has, found in its partitions, not its rows (SRC3)."""
+    (play, play_path), (base, base_path), (feats, feats_path) = (_scratch(spark) for _ in range(3))
+    t = jobs.Tables(play=play, song_base=base, song_features=feats)
+    W.create_table(spark, play, schemas.SONG_PLAY, location=play_path)
+    W.write_partitioned(_plays(spark, d), play_path)
+    W.recover_partitions(spark, play)
+    W.create_table(spark, base, schemas.SONG_BASE, partition_col=None, location=base_path)
+    W.overwrite_table(_base(spark, d), base)
+    W.create_table(spark, feats, schemas.SONG_FEATURES, location=feats_path)
+    jobs.build_song_features(spark, jobs.newest(spark, play), None, t)
+    return spark.table(feats)
+
+
 def log_song_play_with_time(spark, d):
     """Song plays with the play time kept (the eleven-field row)."""
     return client_log.song_play(_parsed(spark, d), LOG_DAY, include_play_time=True)
@@ -428,7 +507,20 @@ def sql_functions(spark, d):
         m["admin"].selectExpr("machine_num AS id", "'product' AS rule", "product_name(product_type) AS value")).unionByName(
         song.selectExpr("nbr AS id", "'types' AS rule", "product_types(prdct_type) AS value")).unionByName(
         fx.logins(spark, d).selectExpr("id", "'mode' AS rule", "login_mode(mode_type) AS value")).unionByName(
-        fx.logins(spark, d).selectExpr("id", "'week before' AS rule", "day_minus(data_dt, 7) AS value"))
+        fx.logins(spark, d).selectExpr("id", "'week before' AS rule", "day_minus(data_dt, 7) AS value")).unionByName(
+        _by_rule(song, "nbr", {
+            "album": "album_name(album)", "singer1": "singer_info(singer_info, 1, 'name')",
+            "singer1id": "singer_info(singer_info, 1, 'id')", "singer2": "singer_info(singer_info, 2, 'name')",
+            "posted": "post_time(post_time, 'UTC')", "company": "auth_company(auth_co, 'reference')",
+            "company name": "auth_company(auth_co, 'intended')"})).unionByName(
+        _by_rule(m["loc"], "mid", {"province": "province(address)", "city": "city(address, real_address)"}))
+
+
+def _by_rule(df, key, calls):
+    """(id, rule, value): one row per rule, each called from SQL."""
+    named = df.selectExpr(f"{key} AS id", *[f"{call} AS `{rule}`" for rule, call in calls.items()])
+    pairs = ", ".join(f"'{rule}', `{rule}`" for rule in calls)
+    return named.selectExpr("id", f"stack({len(calls)}, {pairs}) AS (rule, value)")
 
 
 # ----------------------------------------------------------------- misc
@@ -442,7 +534,7 @@ def date_window_filter(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in [
         log_parse_gate, log_parse_intended, log_request_routing, log_song_play_flatten,
-        log_song_play_intended, log_rejects,
+        log_song_play_intended, log_rejects, log_requests_typed, log_request_rejects,
         song_album_name, song_singer_info, song_post_time, song_auth_company, song_product_types,
         song_name_length, song_base_info, song_counts_one_pass, song_features, song_peak_daily,
         song_features_play_ops, song_features_daily, song_features_incremental, song_features_approx,
@@ -451,9 +543,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         user_single_login, user_single_login_bounded,
         machine_id_universe, machine_location_repair, machine_location_repair_intended,
         machine_province_city, machine_compact_time, machine_mac_loc_join, machine_product_name,
-        machine_base_info, machine_base_info_intended,
+        machine_base_info, machine_base_info_intended, machine_base_info_bucketed,
         date_window_filter, song_rsi_one_day, user_login_detail_one_day, sink_overwrite_day,
-        sink_overwrite_and_recover, log_ingest_round_trip, log_song_play_with_time, sql_functions,
+        sink_overwrite_and_recover, log_ingest_round_trip, log_ingest_counts, log_load_once, song_features_newest,
+        log_song_play_with_time, sql_functions,
     ]
 }
 

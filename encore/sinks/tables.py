@@ -25,27 +25,35 @@ def write_by_key(df: DataFrame, path: str, key: str = "request_type", value: str
     df.select(key, value).hint("rebalance", key).write.mode(mode).partitionBy(key).text(path)
 
 
-def _ddl(schema: T.StructType, partition_col: str | None) -> str:
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
-                     if f.name != partition_col)
-    if partition_col:
-        cols += f", `{partition_col}` string"
-    return cols
+def _partition_cols(partition_col) -> tuple[str, ...]:
+    return (partition_col,) if isinstance(partition_col, str) else tuple(partition_col or ())
+
+
+def _ddl(schema: T.StructType, partition_cols: tuple[str, ...]) -> str:
+    cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in partition_cols]
+    return ", ".join(cols + [f"`{c}` string" for c in partition_cols])
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType,
-                 partition_col: str | None = "data_dt", location: str | None = None,
-                 fmt: str = "parquet", options: dict | None = None) -> None:
-    """``CREATE TABLE IF NOT EXISTS … USING <fmt> [OPTIONS] [PARTITIONED BY] [LOCATION]``.
+                 partition_col: str | tuple[str, ...] | None = "data_dt", location: str | None = None,
+                 fmt: str = "parquet", options: dict | None = None, bucket_by: tuple[str, int] | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS … USING <fmt> [OPTIONS] [PARTITIONED BY] [CLUSTERED BY] [LOCATION]``.
+
+    ``bucket_by=(column, n)`` clusters and sorts the rows by the column into n
+    buckets: joins and groupings on it with tables of as many buckets read
+    them as they lie, without a shuffle.
 
     Parquet by default; ``fmt="csv", options={"sep": "\\t"}`` gives the
     tab-separated text layout of a raw (ODS) table.
     """
-    sql = f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema, partition_col)}) USING {fmt}"
+    parts = _partition_cols(partition_col)
+    sql = f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema, parts)}) USING {fmt}"
     if options:
         sql += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
-    if partition_col:
-        sql += f" PARTITIONED BY (`{partition_col}`)"
+    if parts:
+        sql += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})"
+    if bucket_by:
+        sql += f" CLUSTERED BY (`{bucket_by[0]}`) SORTED BY (`{bucket_by[0]}`) INTO {bucket_by[1]} BUCKETS"
     if location:
         sql += f" LOCATION '{location}'"
     spark.sql(sql)
@@ -77,7 +85,7 @@ def overwrite_days(df: DataFrame, table: str, days: list[str], partition_col: st
     df.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(path)
     staged = spark.read.schema(df.schema).parquet(path).where(col.isin(list(days)))
     try:
-        about = _described(spark, table)
+        about = described(spark, table)
         if about.get("Provider", "").lower() != "parquet":
             for day in days:
                 overwrite_partition(staged.where(col == F.lit(day)), table, day, partition_col)
@@ -96,7 +104,8 @@ def overwrite_days(df: DataFrame, table: str, days: list[str], partition_col: st
         drop_stage(spark, path)
 
 
-def _described(spark: SparkSession, table: str) -> dict[str, str]:
+def described(spark: SparkSession, table: str) -> dict[str, str]:
+    """Columns, location, provider and the like of a catalog table."""
     return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
 
 
@@ -120,6 +129,15 @@ def overwrite_table(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
+def overwrite_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Replace an unpartitioned table of :func:`create_table` with ``bucket_by=(key, buckets)``.
+
+    The rows are shuffled by the key first, so a bucket is one file; later
+    joins on the key shuffle none of them.
+    """
+    df.select(*df.sparkSession.table(table).columns).repartition(buckets, key).write.mode("overwrite").insertInto(table)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "data_dt") -> None:
     """Path-level dynamic overwrite of the day partitions present in ``df``."""
     df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.tables import partition_values
+
 
 def read_table(spark: SparkSession, name_or_path: str, database: str | None = None,
                schema: T.StructType | None = None) -> DataFrame:
@@ -34,3 +36,20 @@ def read_client_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     the rows out again right after the read.
     """
     return spark.read.text(path)
+
+
+def newest_day(spark: SparkSession, table: str, at_most: str | None = None, col: str = "data_dt") -> str | None:
+    """The newest day a partitioned table has (not after ``at_most``): the catalog's list, no row is read."""
+    days = {d for d in partition_values(spark, table, col) if at_most is None or d <= at_most}
+    return max(days, default=None)
+
+
+def log_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, length, modified) of the files behind a landing path; their content is not read."""
+    return spark.read.format("binaryFile").load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def log_fan_out(files: DataFrame, expansion: int = 8, partition_bytes: int = 128 << 20) -> int:
+    """Partitions for the lines of compressed log files: by their size, not by the cluster's."""
+    total = files.agg(F.sum("length")).first()[0] or 0
+    return max(1, -(-total * expansion // partition_bytes))
