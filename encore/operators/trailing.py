@@ -19,15 +19,15 @@ results (tests check they agree):
     plays, the anonymous uid) is collapsed before it is shuffled.
 
 ``many days``   one scan for the whole range, no per-day re-scan and no
-    row fan-out by span.  With the day before and after on which a (key,
-    value) was seen (``lag`` and ``lead``), its coverage by a window ``k`` is
-    a +1 on the days it begins to be covered (not seen in the ``k`` days
-    before) and a -1 the day after it ends; a value seen without such gaps
-    adds nothing.  These are summed per (key, day) -- bounded by the number of
-    days, whatever the key's row count -- and a running sum in day order gives
-    the distinct count.  Row counts and daily peaks are RANGE frames over the
-    per-day counts.  Only hash aggregation with fixed-width buffers: no set of
-    values or days is ever gathered.
+    row fan-out.  With the days before and after on which a (key, value) was
+    seen (``lag`` and ``lead``), a day begins a run for window ``k`` if the
+    value was not seen in the ``k`` days before it, and ends one if not in the
+    ``k`` days after.  Both are counted per (key, day) -- bounded by the number
+    of days, whatever the key's row count.  A window ``[D-k, D]`` holds as many
+    values as runs began up to ``D``, less those whose last day was before
+    ``D-k``: two running sums.  Row counts and daily peaks are RANGE frames
+    over the per-day counts.  Only hash aggregation with fixed-width buffers:
+    no set of values or days is ever gathered.
 
 With sketches (:func:`sketch_state`, :func:`trailing_from_sketches`) the state
 is one row per (key, day), whatever the number of values: a HyperLogLog sketch
@@ -155,45 +155,34 @@ def _single_day(rows, key, day, spans, distinct, the_day) -> DataFrame:
 def _many_days(state, key, day, spans, distinct) -> DataFrame:
     near = Window.partitionBy("key", "kind", "v").orderBy("dn")
     seen = state.withColumns({"before": F.lag("dn").over(near), "after": F.lead("dn").over(near)})
-    # Events, one wide row each: the day's count, "value seen here" flags and
-    # running-sum deltas per (column, span).  Written as SQL expressions (one
-    # call to build, however many spans and columns).
-    dcols = [f"{c}_here" for c in distinct] + [f"{c}_{k}" for c in distinct for k in spans]
-    ev_fields = ["point", "n"] + dcols
-
-    def is_kind(c: str) -> str:
-        return "kind = '" + c.replace("'", "''") + "'"
-
-    def event(point: str, n: str, deltas: dict) -> str:
-        parts = [f"'point', CAST({point} AS INT)", f"'n', CAST({n} AS BIGINT)"]
-        parts += [f"'{c}', CAST({deltas.get(c, 0)} AS BIGINT)" for c in dcols]
-        return f"named_struct({', '.join(parts)})"
-
-    begins = {f"{c}_here": f"IF({is_kind(c)}, 1, 0)" for c in distinct} | {
-        f"{c}_{k}": f"IF({is_kind(c)} AND (before IS NULL OR dn - before > {k}), 1, 0)" for c in distinct for k in spans}
-    array = [event("dn", f"IF({is_kind(_COUNT_KIND)}, n, 0)", begins)]
-    for k in spans if distinct else []:
-        ends = {f"{c}_{k}": f"IF({is_kind(c)}, -1, 0)" for c in distinct}
-        array.append(f"IF({is_kind(_COUNT_KIND)} OR after - dn <= {k}, NULL, {event(f'dn + {k + 1}', '0', ends)})")
-    events = seen.select("key", F.expr(f"inline_outer(array({', '.join(array)}))")).where(F.col("point").isNotNull())
-    # Level 2: one row per (key, point) -- a few per day and key at most.
-    points = (events.groupBy("key", "point").agg(*[F.sum(c).alias(c) for c in ev_fields[1:]])
-              .withColumnRenamed("key", key))
+
+    def count_if(cond: Column) -> Column:
+        return F.sum(F.when(cond, 1).otherwise(0))
+
+    sums = [F.sum(F.when(F.col("kind") == _COUNT_KIND, F.col("n")).otherwise(0)).alias("n")]
+    for c in distinct:
+        own = F.col("kind") == c
+        sums.append(count_if(own).alias(f"{c}_here"))
+        for k in spans:
+            begins = F.col("before").isNull() | (F.col("dn") - F.col("before") > k)
+            ends = F.col("after").isNull() | (F.col("after") - F.col("dn") > k)
+            sums += [count_if(own & begins).alias(f"{c}_begin_{k}"), count_if(own & ends).alias(f"{c}_end_{k}")]
+    days = seen.groupBy("key", "dn").agg(*sums).withColumnRenamed("key", key)
     # Partition the window by the output key column itself, so the result is
     # known to be hash-partitioned by it: a later join or aggregation on the
     # key (the song dimension join) reuses that partitioning instead of
     # shuffling the features again.
-    w = Window.partitionBy(key).orderBy("point")
-    running = w.rangeBetween(Window.unboundedPreceding, 0)
-    cols = [F.col(key), day_string(F.col("point")).alias(day), F.col("n").alias("n_0")]
+    w = Window.partitionBy(key).orderBy("dn")
+    cols = [F.col(key), day_string(F.col("dn")).alias(day), F.col("n").alias("n_0")]
     cols += [F.sum("n").over(w.rangeBetween(-k, 0)).alias(f"n_{k}") for k in spans]
     cols += [F.max("n").over(w.rangeBetween(-k, 0)).alias(f"peak_{k}") for k in spans]
     for c in distinct:
         cols.append(F.col(f"{c}_here").alias(f"d_{c}_0"))
-        cols += [F.sum(f"{c}_{k}").over(running).alias(f"d_{c}_{k}") for k in spans]
-    return (points.select(*cols, F.col("n").alias("_today"))
-            .where(F.col("_today") > 0)
-            .select(*_output_columns(key, day, spans, distinct)))
+        for k in spans:
+            begun = F.sum(f"{c}_begin_{k}").over(w.rangeBetween(Window.unboundedPreceding, 0))
+            ended = F.sum(f"{c}_end_{k}").over(w.rangeBetween(Window.unboundedPreceding, -k - 1))
+            cols.append((begun - F.coalesce(ended, F.lit(0))).alias(f"d_{c}_{k}"))
+    return days.select(*cols).select(*_output_columns(key, day, spans, distinct))
 
 
 # ----------------------------------------------------------------- sketches
@@ -203,8 +192,9 @@ LG_REGISTERS = 12
 
 def sketch_state(df: DataFrame, key: str, day: str, distinct: Sequence[str], lg_registers: int = LG_REGISTERS) -> DataFrame:
     """(key, day, n, s_<col> ...): rows and a mergeable distinct sketch per column, one row per key and day."""
+    # A sketch passes over the empty text, which is a value here: every value gets a mark before it.
     return df.groupBy(key, day).agg(F.count(F.lit(1)).alias("n"), *[
-        F.hll_sketch_agg(F.col(c).cast("string"), lg_registers).alias(f"s_{c}") for c in distinct])
+        F.hll_sketch_agg(F.concat(F.lit("="), F.col(c).cast("string")), lg_registers).alias(f"s_{c}") for c in distinct])
 
 
 def trailing_from_sketches(state: DataFrame, key: str, day: str, spans: Sequence[int], distinct: Sequence[str],
