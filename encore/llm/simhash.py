@@ -42,15 +42,21 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every whole text, one row per input row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 keep: str | None = None) -> DataFrame:
+    """(doc_id, fp) of every whole text, one row per input row, and the column ``keep``, a long, if asked for."""
+    extra = [keep] if keep else []
+
     def run(batches):
+        tx.forget()
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *(b.column(c) for c in extra)],
+                                             ["doc_id", "fp", *extra])
 
-    src = tx.id_text(docs, id_col, text_col)
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    src = docs.select(tx.col(id_col).alias("doc_id"), F.coalesce(tx.col(text_col), F.lit("")).alias("text"), *extra)
+    kept = "".join(f", {c} bigint" for c in extra)
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp bigint{kept}")
 
 
 def _near_masks(byte_places: tuple[int, ...], max_bits: int) -> np.ndarray:
@@ -130,7 +136,7 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", keep: str | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row.
 
     Fingerprints within ``max_bits`` bits are linked; component_id is the
@@ -138,9 +144,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     have fingerprint 0 and link like any other.  Repeated rows get a row each;
     a null doc_id takes part with its text but is nobody's component_id, which
     is null only where no row of the component has an id.  Other columns are
-    ignored; an empty table gives an empty result.
+    ignored but ``keep``, which comes along with the component's root
+    fingerprint; an empty table gives an empty result.
     """
-    marked = staged(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    marked = staged(fingerprints(docs, shingle, id_col, text_col, keep), "fingerprints")
     distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = staged(components(links(distinct.select("fp"), max_bits)), "roots")
     # Fingerprints without a link are their own component; both tables have one row per fingerprint.
@@ -148,20 +155,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     # Written before it is joined: a join of two plain shuffles can split a hot component.
     named = staged(placed.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    ids = placed.join(named, "root").select("fp", "component_id")
+    ids = placed.join(named, "root").select("fp", "component_id", "root")
     return marked.join(ids, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+        *(["root", keep] if keep else []))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, less all documents of a component but that of the smallest id.
+    """The rows of ``docs``, all columns, of which one of each component stays: that of the smallest id.
 
-    Rows equal in id and text count as one document.  Rows without an id
-    cannot be named and stay.
+    Rows are told apart by their place, so a row goes whose id another
+    component's kept row has, and of repeated rows or rows with one id the
+    first in the table stays.  A row without an id stays only where no row of
+    its component has one.  Null and empty texts are alike; texts of any
+    length; an empty table gives an empty result.
     """
-    key = "__encore_kept"
-    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    named = docs.join(kept, tx.col(id_col) == F.col(key), "left_semi").dropDuplicates([id_col, text_col])
-    return named.union(docs.where(tx.col(id_col).isNull()))
+    row = "__encore_row"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    marked = near_duplicates(rows, shingle, max_bits, id_col, text_col, keep=row)
+    # The first of each component: smallest id, then first place; components are told by fingerprint root.
+    first = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row))).alias("f")).select(
+        F.col(f"f.{row}").alias("__encore_first"))
+    return rows.join(first, F.col(row) == F.col("__encore_first"), "left_semi").drop(row)

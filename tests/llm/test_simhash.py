@@ -114,3 +114,16 @@ def test_components_of_path_star_and_loops(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_one_of_each_by_row(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(3, b, "x"), (5, a, "x"), (5, b, "y"), (7, a, "z"), (None, a, "n"), (None, a, "m"), (None, "only here", "k"),
+            (None, "only here", "l"), (9, None, "e"), (8, "", "f")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, root string")
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns
+    kept = sorted([tuple(r) for r in got.collect()], key=repr)
+    assert [r[:2] for r in kept if r[0] is not None] == [(3, b), (5, a), (8, "")]
+    assert [r[:2] for r in kept if r[0] is None] == [(None, "only here")]
+    assert simhash.one_of_each(df.limit(0)).count() == 0

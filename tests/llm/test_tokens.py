@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from encore.llm import text as tx
 from encore.llm import bpe_count, packing, text, token_store
 
 SCHEMA = "doc_id bigint, text string, n_tokens string, piece string"
@@ -177,3 +178,12 @@ def test_packing_spreads_over_groups(spark, monkeypatch):
     rows = packing.pack(spark.createDataFrame([(7, n) for n in lens], "doc_id bigint, length bigint")).collect()
     assert sorted(r.length for r in rows) == sorted(lens)
     assert check_packing(rows, 2048) <= 1.02 * sum(lens) / 2048 + 1
+
+
+def test_recent_keeps_what_is_asked_for():
+    made = []
+    keep = tx.Recent(lambda k: made.append(k) or (k,), 20)
+    for k in range(200):
+        assert keep[k] == (k,) and keep["often"] == ("often",)
+        assert len(keep) + len(keep.older) <= 21
+    assert made.count("often") == 1 and len(made) == 201
