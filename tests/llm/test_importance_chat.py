@@ -95,11 +95,11 @@ def test_quality_empty(spark):
     assert importance.quality(docs, docs.select("doc_id")).count() == 0
 
 
-def run_sql(rows):
+def run_sql(rows, key=None):
     con = duckdb.connect()
     con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
-    return sorted(con.execute(chat.SQL).fetchall())
+    return sorted(con.execute(chat.SQL).fetchall(), key=key)
 
 
 def test_chat_equals_sql(spark):
@@ -117,16 +117,17 @@ def test_chat_equals_sql(spark):
                                "part int, more boolean").repartition(5)
     got = chat.maximal_conversations(df)
     assert sorted(map(tuple, got.select("conv_id", "part", "n_turns", "text").collect())) == run_sql(rows)
-    assert {r.conv_id for r in got.collect()} & {600, 601, 602, 603, 501, 502} == {600, 501}
+    assert {r.conv_id for r in got.collect()} & {600, 601, 602, 603, 501, 502} == {600, 501}  # repeated rows of 501 are one turn, as in 502
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_chat_null_ids_and_empty(spark):
     schema = "conv_id bigint, turn int, role string, text string"
-    df = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "user", "b"), (1, 0, "user", "a")], schema)
-    (row,) = chat.maximal_conversations(df).collect()
-    assert row.conv_id is None and row.n_turns == 2
+    rows = [(None, 0, "user", "a"), (None, 1, "user", "b"), (None, 5, "user", "b"), (1, 0, "user", "a")]
+    got = chat.maximal_conversations(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(map(tuple, got), key=repr) == [(1, 0, 1, "<|user|>\na\n"), (None, 0, 1, "<|user|>\nb\n")] and run_sql(
+        rows, repr) == sorted(map(tuple, got), key=repr)
     assert chat.maximal_conversations(spark.createDataFrame([], schema)).count() == 0
 
 
@@ -142,3 +143,19 @@ def test_sql_on_test_tables(spark, name):
 def test_all_trusted_documents_count(spark):
     docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 7).alias("text"))
     assert set(importance.log_ratios(docs, docs.select("doc_id"), buckets=50)) == {0.0}  # both sides are the same
+
+
+def test_long_and_hot_conversations_split(spark):
+    """A third of the rows without id, one turn said by 100,000 conversations, one conversation of 9,000 turns of one number."""
+    many = spark.range(100_000).select((F.col("id") + 10).alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"),
+                                       F.lit("hello").alias("text"))
+    alone = spark.range(60_000).select(F.lit(None).cast("bigint").alias("conv_id"), (F.col("id") % 3).cast("int").alias("turn"),
+                                       F.lit("user").alias("role"), F.concat(F.lit("m"), F.col("id") % 20_000).alias("text"))
+    long = spark.range(9_000).select(F.lit(1).cast("bigint").alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"),
+                                     F.lpad(F.col("id").cast("string"), 5, "0").alias("text"))
+    got = chat.maximal_conversations(many.unionAll(alone).unionAll(long).repartition(8))
+    by_id = {r.conv_id: r for r in got.where("conv_id <> 1").collect()}
+    assert list(by_id) == [10] and got.where("conv_id IS NULL").count() == 20_000
+    parts = sorted((r.part, r.n_turns, r.text) for r in got.where("conv_id = 1").collect())
+    assert [p[:2] for p in parts] == [(0, 4096), (1, 4096), (2, 808)]
+    assert "".join(p[2] for p in parts) == "".join(f"<|user|>\n{k:05d}\n" for k in range(9_000))
