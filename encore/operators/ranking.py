@@ -6,7 +6,9 @@
     task numbers its rows and the numbered rows are written once; per (task,
     group) counts -- at most one row per group and task it reaches -- give
     each task its starting rank.  Counts and rows come from the same written
-    rows, so they always agree.
+    rows, so they always agree.  A row's number within its task is the low 33
+    bits of ``monotonically_increasing_id()``, whose layout (partition above
+    bit 33, row number below) is documented by Spark and relied on here.
 
 ``top_n``  ``row_number() <= n`` with a window: Catalyst inserts a partial
     ``WindowGroupLimit`` before the shuffle, so every task ships at most n

@@ -20,7 +20,7 @@ from .. import schemas
 from ..functions.dates import day_minus, day_range
 from ..sinks import loads as L
 from ..sinks import tables as W
-from ..sources.tables import log_fan_out, log_files, newest_day, read_client_log, read_day, read_range, read_table
+from ..sources.tables import log_files, newest_day, read_client_log, read_day, read_range, read_table
 from . import client_log, machines, rsi, songs, users
 
 
@@ -95,12 +95,15 @@ def _log_counts(spark: SparkSession, counts: list[tuple]) -> DataFrame:
     return spark.createDataFrame(counts, "metric string, request_type string, n bigint")
 
 
-def _read_log(spark: SparkSession, files: list[str] | str, mode: str, partitions: int):
-    """The log's records, written once, and what was observed on the way."""
+def _read_log(spark: SparkSession, files: list[str] | str, mode: str):
+    """The log's records, written once, and what was observed on the way.
+
+    Written as they are read, a task a compressed file; what follows reads the
+    written records, in as many tasks as their size needs, without a shuffle.
+    """
     lines, records = Observation(), Observation()
     raw = client_log.counted_lines(read_client_log(spark, files), lines)
-    parsed = client_log.counted_records(client_log.parse(raw, mode, partitions), records)
-    return W.materialize(parsed), lines, records
+    return W.materialize(client_log.counted_records(client_log.parse(raw, mode), records)), lines, records
 
 
 def ingest_client_log(spark: SparkSession, log_path: str, data_dt: str, routed_dir: str,
@@ -111,17 +114,17 @@ def ingest_client_log(spark: SparkSession, log_path: str, data_dt: str, routed_d
 
     The lines are parsed once; table and text both come from that, so neither
     depends on the other's format.  Lines, records by type and rejects are
-    counted as they pass.  The fan-out after the read follows the files'
-    sizes.  ``append`` adds the rows whatever was loaded before;
+    counted as they pass.  ``partitions`` spreads the records over that many
+    tasks (default: as many as their size needs).  ``append`` adds the rows whatever was loaded before;
     :func:`load_client_log` takes each file in once.  Returns the day's
     rejected records.
     """
-    partitions = partitions or log_fan_out(log_files(spark, log_path))
     with W.staged_folders(spark):
-        parsed, lines, records = _read_log(spark, log_path, mode, partitions)
-        W.write_by_key(client_log.route(parsed, mode), f"{routed_dir}/{data_dt}")
-        plays, seen = client_log.song_play(parsed, data_dt, mode), Observation()
-        rejected = client_log.rejects(parsed).observe(seen, F.count(F.lit(1)).alias("rejected"))
+        parsed, lines, records = _read_log(spark, log_path, mode)
+        dealt = parsed.repartition(partitions) if partitions else parsed
+        W.write_by_key(client_log.route(dealt, mode), f"{routed_dir}/{data_dt}")
+        plays, seen = client_log.song_play(dealt, data_dt, mode), Observation()
+        rejected = W.materialize(client_log.rejects(parsed).observe(seen, F.count(F.lit(1)).alias("rejected")))
         put = W.append_partition if append else W.overwrite_partition
         put(plays, t.play, data_dt)
         put(rejected, t.log_rejects, data_dt)
@@ -151,7 +154,7 @@ def load_client_log(spark: SparkSession, log_path: str, data_dt: str, routed_dir
         paths = [r.path for r in files.select("path").collect()]  # the reader lists its files on the driver anyway
         if not paths:
             return 0
-        parsed, lines, records = _read_log(spark, paths, mode, log_fan_out(files))
+        parsed, lines, records = _read_log(spark, paths, mode)
         load = uuid.uuid4().hex
         W.write_by_key(client_log.route(parsed, mode), f"{routed_dir}/{data_dt}/load_id={load}")
         seen = Observation()

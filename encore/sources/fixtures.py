@@ -159,7 +159,7 @@ def client_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     for src, dst in OTHER_TYPES.items():
         rtype = F.when(etype == src, F.lit(dst)).otherwise(rtype)
     songname = F.when(v == 7, F.concat(etype, F.lit(" & co"))).otherwise(F.concat(etype, F.lit(" song")))
-    order = F.when(e % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("InsertCoin_"), _s(e)))
+    order = F.when(e % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("PAY-"), _s(e)))
     head = F.concat(
         F.lit('{"songid": "lx'), _s(e % 500), F.lit('", "mid": '), _s(uid_src),
         F.lit(', "optrate_type": '), _s(e % 7), F.lit(', "uid": '), _s(uid_src % 13),
@@ -174,9 +174,9 @@ def client_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('{"mid": '), _s(uid_src), F.lit(', "uid": '), _s(uid_src % 13),
                  F.lit(', "event_id": '), _s(e), F.lit("}")))
     payload = F.when(rtype == SONG_PLAY_TYPE, play).otherwise(other)
-    ts = _s(F.lit(1575302461) + e)
-    six = F.concat_ws("&", ts, _s(uid_src), rtype, payload, F.lit("3.0.1.15"), F.lit("2.4.4.30"))
-    five = F.concat_ws("&", ts, _s(uid_src), rtype, payload, F.lit("3.0.1.15"))
+    ts = _s(F.lit(1640995200) + e)
+    six = F.concat_ws("&", ts, _s(uid_src), rtype, payload, F.lit("6.2.0.8"), F.lit("4.7.1.2"))
+    five = F.concat_ws("&", ts, _s(uid_src), rtype, payload, F.lit("6.2.0.8"))
     line = F.when(v == 5, F.concat(six, F.lit("&"))).when(v == 6, five).otherwise(six)
     return ev.select(line.alias("value"))
 
@@ -275,8 +275,8 @@ def machine_sources(spark: SparkSession, sf_dir: str, gaps: bool = False) -> dic
     mid = _s(k).alias("mid")
     mac = having(5).select(
         mid, F.concat(F.lit("SN"), _s(k)).alias("serialnum"), F.concat(F.lit("HW"), _s(k % 97)).alias("hard_id"),
-        _s(nk).alias("song_warehouse_version"), F.lit("3.0.1").alias("exec_version"),
-        F.lit("2.4.4").alias("ui_version"), _s(k % 2).alias("online"), F.lit("1").alias("status"),
+        _s(nk).alias("song_warehouse_version"), F.lit("6.2.0").alias("exec_version"),
+        F.lit("4.7.1").alias("ui_version"), _s(k % 2).alias("online"), F.lit("1").alias("status"),
         _case(k % 4, ["null", "20200101"], "20200101120000").alias("current_login_time"),
         F.lit("1").alias("pay_switch"), F.lit("0").alias("language_type"), F.lit("1").alias("songware_type"),
         _s(k % 3).alias("screen_type"))

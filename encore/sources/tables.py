@@ -47,9 +47,3 @@ def newest_day(spark: SparkSession, table: str, at_most: str | None = None, col:
 def log_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, length, modified) of the files behind a landing path; their content is not read."""
     return spark.read.format("binaryFile").load(path).select("path", "length", F.col("modificationTime").alias("modified"))
-
-
-def log_fan_out(files: DataFrame, expansion: int = 8, partition_bytes: int = 128 << 20) -> int:
-    """Partitions for the lines of compressed log files: by their size, not by the cluster's."""
-    total = files.agg(F.sum("length")).first()[0] or 0
-    return max(1, -(-total * expansion // partition_bytes))

@@ -92,11 +92,12 @@ def test_overwrite_days_leaves_other_days(spark):
     assert rows(spark.table(name)) == rows(want)
 
 
-def test_fan_out_follows_file_sizes(spark):
-    files = S.log_files(spark, _log(spark))
-    assert files.count() == 3 and S.log_fan_out(files) == 1
-    total = files.agg(F.sum("length")).first()[0]
-    assert S.log_fan_out(files, expansion=8, partition_bytes=total) == 8
+def test_counts_of_a_log_without_a_record(spark):
+    t, routed, path = _tables(spark), W.stage_path(spark), W.stage_path(spark)
+    spark.createDataFrame([("a&b",), ("",)], "value string").write.text(path)
+    assert jobs.load_client_log(spark, path, DAY, routed, t) >= 1
+    counts = {(r.metric, r.request_type): r.n for r in spark.table(t.log_counts).collect()}
+    assert counts[("lines", None)] == counts[("dropped", None)] == 2 and sum(counts.values()) == 4
 
 
 def test_variant_fields_and_rejects(spark):
