@@ -233,7 +233,12 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP,
                    text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, in which no test item is found.  Rows with a null text stay."""
+    """The rows of ``docs``, all columns, in which no test item is found.
+
+    Rows with a null or empty text stay, as does every row when there are no
+    items; repeated rows go or stay alike.  Texts of any length are searched
+    whole.  An empty table gives an empty result.
+    """
     at = docs.columns.index(text_col)
     for _, index in _indexes(items, item_id_col, item_text_col):
         def run(batches, index=index):

@@ -120,7 +120,12 @@ def quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, b
 
 def kept_documents(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that :func:`quality` keeps; the text is read in place, nothing is joined."""
+    """The rows of ``docs``, all columns, that :func:`quality` keeps; for the decision no text is joined.
+
+    Null and empty texts have under twenty words and go; repeated rows go or
+    stay alike, with or without an id; texts of any length are judged whole.
+    An empty table gives an empty result.
+    """
     ratios = log_ratios(tx.id_text(docs, id_col, text_col), trusted, buckets)
     text = F.coalesce(tx.col(text_col), F.lit(""))
     fair = _let(words(text), lambda ws: (F.size(ws) >= 20) & (100 * repeated_words(ws) <= 30 * F.size(ws)))
