@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), ``docs`` being what its predecessor
 kept, written as Parquet and read again.  All but the last return the columns
-of ``docs``.
+of ``docs``, whatever others it has.  Rows are told apart by their place, not by
+doc_id, which may be null or repeat.  Null, empty and very long texts are taken
+as the operators' docstrings say; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,28 +17,28 @@ from encore.llm.storage import staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the counted rules and read like trusted text."""
+    """Documents that pass the counted rules and read like trusted text; null and empty texts go."""
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 AND toxic = 0").select("doc_id")
     return importance.kept_documents(docs, trusted)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: 3-word shingles, 3 bits."""
+    """One row of each SimHash component, of the smallest id: 3-word shingles, 3 bits."""
     return simhash.one_of_each(docs, shingle=3, max_bits=3)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the paragraphs that an earlier document or place has already."""
+    """Texts without the runs of paragraphs that an earlier document or place has already; emptied texts go."""
     return paragraphs.drop_repeated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
+    """Documents without a benchmark item; all of them when there is none."""
     return bm25.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents in sequences of at most 2048 tokens."""
+    """Token pieces of the documents in sequences of at most 2048 tokens; an empty text is its end token."""
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, max_len=2048)
 
 
