@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .components import components
-from .storage import drop, stage_path, staged
+from .storage import drop, numbered, stage_path, staged
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Words of a paragraph at least; words between the ends of a sentence and a cut inside it.
@@ -165,7 +165,7 @@ def _cut(docs: DataFrame) -> DataFrame:
 
     bands = ", ".join(f"{c} bigint" for c in _BAND_COLS)
     return docs.select("row", "doc_id", "text").mapInArrow(
-        run, f"row bigint, doc_id {kind}, paragraph int, n_words int, content bigint, {bands}, words binary")
+        run, f"row string, doc_id {kind}, paragraph int, n_words int, content bigint, {bands}, words binary")
 
 
 def shingles(words: bytes) -> frozenset:
@@ -267,18 +267,20 @@ def _compared(parts: list[DataFrame], texts: DataFrame, similarity: float) -> Da
 def _repeated(src: DataFrame, similarity: float, min_run: int) -> DataFrame:
     """(row, doc_id, paragraph, n_words, kept_doc_id, kept_paragraph, removed) for the rows (row, doc_id, text)."""
     spark = src.sparkSession
-    paths = {name: stage_path(spark, name) for name in ("paragraphs", "contents", "wanted", "words", "roots", "again")}
-    cut = staged(_cut(src), "paragraphs", paths["paragraphs"])
-    contents = staged(cut.groupBy("content").agg(F.count(F.lit(1)).alias("copies"), *[
-        F.first(c).alias(c) for c in _BAND_COLS]), "contents", paths["contents"])
-    lists = _lists(contents.select(F.explode(F.array(*_BAND_COLS)).alias("band"), "content"))
+    paths = {name: stage_path(spark, name) for name in ("paragraphs", "wanted", "words", "roots", "again")}
+    cut = staged(_cut(src), "paragraphs", paths["paragraphs"], "zstd")
+    # Distinct contents and their bands are summed up twice rather than written: most share no band.
+    posted = cut.groupBy("content").agg(*[F.first(c).alias(c) for c in _BAND_COLS]).select(
+        F.explode(F.array(*_BAND_COLS)).alias("band"), "content")
+    lists = _lists(posted)
     # Words are fetched for the contents of a list only, one holder each.
     wanted = staged(lists.select("content").distinct(), "wanted", paths["wanted"])
     texts = staged(cut.select("content", "words").join(wanted, "content", "left_semi").dropDuplicates(["content"]), "words", paths["words"])
     roots = staged(components(_links(lists, texts, similarity)), "roots", paths["roots"])
     # Aggregates are written before they are joined: a join of two plain shuffles can split a hot content or component.
-    again = staged(contents.join(roots, F.col("content") == F.col("node"), "left").where("copies > 1 OR root IS NOT NULL").select(
-        F.col("content").alias("of"), F.coalesce("root", "content").alias("component")), "again", paths["again"])
+    copied = cut.groupBy("content").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("content")
+    again = staged(copied.join(roots, F.col("content") == F.col("node"), "full").select(
+        F.coalesce("content", "node").alias("of"), F.coalesce("root", "content").alias("component")), "again", paths["again"])
     placed = staged(cut.select("row", "doc_id", "paragraph", "n_words", "content").join(
         again, F.col("content") == F.col("of")).select("row", "doc_id", "paragraph", "n_words", "component"), "placed")
     for path in paths.values():  # nothing below reads them
@@ -297,10 +299,6 @@ def _repeated(src: DataFrame, similarity: float, min_run: int) -> DataFrame:
         F.col("kept.paragraph").alias("kept_paragraph"), (~same).alias("removed"))
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(_ROW, F.monotonically_increasing_id())
-
-
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, min_run: int = MIN_RUN,
                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, paragraph, n_words, kept_doc_id, kept_paragraph, removed) of every paragraph that occurs again.
@@ -315,7 +313,7 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, min_run
     paragraphs.  Very long texts are worked on one at a time.  Other columns
     are ignored; an empty table gives an empty result.
     """
-    src = _numbered(tx.id_text(docs, id_col, text_col)).withColumnRenamed(_ROW, "row")  # read once: numbered once
+    src = tx.id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id().cast("string"))  # read once: numbered once
     return _repeated(src, similarity, min_run).drop("row")
 
 
@@ -338,7 +336,7 @@ def drop_repeated(docs: DataFrame, similarity: float = SIMILARITY, min_run: int
     before keep theirs.  Rows count by their place: without an id, or with one
     that others have, they lose what an earlier row has all the same.
     """
-    rows = staged(_numbered(docs), "numbered")
+    rows = numbered(docs, _ROW)
     src = rows.select(F.col(_ROW).alias("row"), tx.col(id_col).alias("doc_id"), F.coalesce(tx.col(text_col), F.lit("")).alias("text"))
     gone = "__encore_gone"
     cut = _repeated(src, similarity, min_run).where("removed").groupBy(F.col("row").alias("__encore_cut")).agg(

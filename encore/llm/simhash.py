@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .components import components
-from .storage import staged
+from .storage import numbered, staged
 
 #: Shingles whose bits are tallied at a time.
 BLOCK = 1 << 15
@@ -44,7 +44,7 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
                  keep: str | None = None) -> DataFrame:
-    """(doc_id, fp) of every whole text, one row per input row, and the column ``keep``, a long, if asked for."""
+    """(doc_id, fp) of every whole text, one row per input row, and the column ``keep``, a string, if asked for."""
     extra = [keep] if keep else []
 
     def run(batches):
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
                                              ["doc_id", "fp", *extra])
 
     src = docs.select(tx.col(id_col).alias("doc_id"), F.coalesce(tx.col(text_col), F.lit("")).alias("text"), *extra)
-    kept = "".join(f", {c} bigint" for c in extra)
+    kept = "".join(f", {c} string" for c in extra)
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp bigint{kept}")
 
 
@@ -166,13 +166,13 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     """The rows of ``docs``, all columns, of which one of each component stays: that of the smallest id.
 
     Rows are told apart by their place, so a row goes whose id another
-    component's kept row has, and of repeated rows or rows with one id the
-    first in the table stays.  A row without an id stays only where no row of
+    component's kept row has, and of repeated rows or rows with one id one
+    stays.  A row without an id stays only where no row of
     its component has one.  Null and empty texts are alike; texts of any
     length; an empty table gives an empty result.
     """
     row = "__encore_row"
-    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = numbered(docs, row)
     marked = near_duplicates(rows, shingle, max_bits, id_col, text_col, keep=row)
     # The first of each component: smallest id, then first place; components are told by fingerprint root.
     first = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row))).alias("f")).select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
@@ -14,13 +15,27 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/encore-llm-{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str, path: str | None = None, compression: str | None = None) -> DataFrame:
     """``df`` computed once: written as Parquet in the shared folder and read again."""
     path = path or stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with a name (a string) of each row's own, the same whenever it is computed.
+
+    Rows of Parquet files are named by file and place in it, whatever the
+    splits they are read in; anything else is written first.
+    """
+    lines = docs._jdf.queryExecution().optimizedPlan().toString().strip().split("\n")
+    scan = {line.strip(" :+-").split(" ")[0] for line in lines} <= {"Project", "Relation"} and lines[-1].endswith(" parquet")
+    if scan and "_metadata" not in docs.columns:
+        return docs.withColumn(column, F.concat(
+            F.hex(F.xxhash64("_metadata.file_path")), F.lit("-"), F.hex("_metadata.row_index")))
+    return staged(docs.withColumn(column, F.monotonically_increasing_id().cast("string")), "numbered")
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Remove a staged folder that no later plan reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
