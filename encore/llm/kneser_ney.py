@@ -1,12 +1,17 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
-Trusted documents fall into two halves by the hash of their id.  One, up to
-``MAX_WORDS`` words of it, trains the model: Spark counts the trigrams and
-from them the continuation counts, discounts and interpolation weights.  The
-n-gram tables are cut by key into shards of bounded size that every document
-is joined with on the map side, so no n-gram of the corpus is shuffled.  The
-other half's perplexities give each language its quantile; documents above
-their language's go.
+Trusted documents fall into two halves by the hash of their id.  Every text of
+one trains the model: Spark counts the trigrams and from them the continuation
+counts, discounts and interpolation weights.  The n-grams are cut by key into
+buckets of bounded size.  Documents go in slices of bounded size; a slice asks
+each bucket once for those of its distinct n-grams that fall there, and what
+was found comes back to the slice, where its documents are scored.  So the
+model is as large as the trusted text makes it, and no task holds more than a
+bucket or a slice.  The other half's perplexities, all of them, give each
+language its quantile; documents above their language's go.
+
+:func:`train` and :func:`perplexities` are the same model in one broadcast, for
+a caller who bounds the words it learns from.
 """
 
 from __future__ import annotations
@@ -14,16 +19,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
 from .storage import staged
 
-#: Words of trusted text the model learns from at most (least id hashes first), and documents looked at for them.
-MAX_WORDS, MAX_DOCS = 2_000_000, 20_000
-#: Entries of a shard; share of a language's trusted documents kept; trusted documents a language needs for its own.
+#: Entries of a shard or bucket; share of a language's trusted documents kept; trusted documents a language needs for its own.
 SHARD, QUANTILE, OWN = 500_000, 0.995, 30
+#: Keys of one row of a request.
+ASKED = 512
 #: Steps of log-perplexity that quantiles are read to.
 STEP = 0.001
 
@@ -148,18 +154,22 @@ def _half(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(2))
 
 
-def training_texts(src: DataFrame, trusted: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS) -> DataFrame:
-    """Whole texts of trusted documents of the first half, by id hash, while their words add up to at most ``max_words``.
+def training_texts(src: DataFrame, trusted: DataFrame, max_docs: int | None = None, max_words: int | None = None) -> DataFrame:
+    """Whole texts of all trusted documents of the first half.
 
-    An id whose texts alone would pass the bound is left out.
+    With a bound, by id hash while they are at most ``max_docs`` documents and
+    their words add up to at most ``max_words``; an id whose texts alone would
+    pass that is left out.
     """
-    ids = (trusted.where(F.col("doc_id").isNotNull() & (_half(F.col("doc_id")) == 0)).select("doc_id").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs))
-    sizes = src.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.sum(F.size(F.split("text", tx.SPACE))).alias("n")).where(F.col("n") <= max_words)
-    running = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most max_docs rows
-    chosen = sizes.withColumn("upto", running).where(F.col("upto") <= max_words).select("doc_id")
-    return src.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
+    ids = trusted.where(F.col("doc_id").isNotNull() & (_half(F.col("doc_id")) == 0)).select("doc_id").distinct()
+    if max_docs is not None:
+        ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
+    if max_words is not None:
+        sizes = src.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.sum(F.size(F.split("text", tx.SPACE))).alias("n")).where(F.col("n") <= max_words)
+        running = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+        ids = sizes.withColumn("upto", running).where(F.col("upto") <= max_words).select("doc_id")
+    return src.join(ids, "doc_id", "left_semi").select("text")
 
 
 def perplexities(src: DataFrame, model: dict) -> DataFrame:
@@ -177,6 +187,179 @@ def perplexities(src: DataFrame, model: dict) -> DataFrame:
     return src.mapInArrow(run, f"doc_id {kind}, lang string, n_tokens bigint, perplexity double")
 
 
+_ENTRY = "bucket int, asked int, slice bigint, keys binary, found binary"
+
+
+def _entry(bucket, asked, of, keys, found) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array(bucket, pa.int32()), pa.array([asked] * len(bucket), pa.int32()), pa.array(of, pa.int64()),
+        pa.array(keys, pa.binary()), pa.array(found, pa.binary())], ["bucket", "asked", "slice", "keys", "found"])
+
+
+def _dealt(keys: np.ndarray, buckets: int, size: int):
+    """(bucket, places in ``keys``) of each run of at most ``size`` keys of a bucket."""
+    of = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    ends = np.cumsum(np.bincount(of, minlength=buckets))
+    for b in np.unique(of):
+        for at in range(int(ends[b - 1]) if b else 0, int(ends[b]), size):
+            yield int(b), order[at:min(at + size, int(ends[b]))]
+
+
+def _packed(entries: DataFrame, words: list[str], buckets: int) -> DataFrame:
+    """N-grams with (own, total, weight) as rows of their buckets."""
+    def run(batches):
+        for b in batches:
+            keys = key(*(b.column(w).to_numpy().view(np.uint64) for w in words))
+            values = np.stack([b.column(c).to_numpy() for c in ("own", "total", "weight")], axis=1).astype("<f4")
+            runs = list(_dealt(keys, buckets, ASKED))
+            yield _entry([r[0] for r in runs], 0, [0] * len(runs), [keys[at].tobytes() for _, at in runs],
+                         [values[at].tobytes() for _, at in runs])
+
+    return entries.select(*words, "own", "total", "weight").mapInArrow(run, _ENTRY)
+
+
+def _own(counts: DataFrame) -> tuple[DataFrame, Column]:
+    """``counts`` with what a discount leaves of each count (own), and the discount."""
+    d = _discounts(counts)
+    cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+    return counts.withColumn("own", F.col("n") - cut), cut
+
+
+def _with_contexts(counts: DataFrame, words: list[str], longer: DataFrame, cut: Column, context: list[str]) -> DataFrame:
+    """(words, own, total, weight): an n-gram's own count, and what it is as the context of the n-grams of ``longer``."""
+    none = F.lit(0.0)
+    as_context = longer.groupBy(*[F.col(c).alias(w) for c, w in zip(context, words)]).agg(
+        F.sum("n").cast("double").alias("total"), F.sum(cut).alias("weight"))
+    return counts.select(*words, "own", none.alias("total"), none.alias("weight")).unionByName(
+        as_context.select(*words, none.alias("own"), "total", "weight")).groupBy(*words).agg(
+        *[F.sum(c).alias(c) for c in ("own", "total", "weight")])
+
+
+def model_entries(docs: DataFrame, size: int = SHARD) -> tuple[DataFrame, dict]:
+    """The n-grams of all training texts (column text) as rows of buckets of about ``size`` entries; the numbers of the lowest order."""
+    tri = staged(_trigrams(docs).groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n")), "trigrams")
+    bi = staged(tri.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n")), "bigrams")
+    uni = staged(bi.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "words")
+    buckets = max(1, -(-(tri.count() + bi.count() + uni.count()) // size))
+    (tri, cut3), (bi, cut2), (uni, cut1) = _own(tri), _own(bi), _own(uni)
+    low = uni.agg(F.sum("n").alias("total"), F.sum(cut1).alias("weight"), F.count(F.lit(1)).alias("words")).first()
+    total = float(low.total or 1)
+    none = F.lit(0.0)
+    entries = _packed(tri.withColumns({"total": none, "weight": none}), ["a", "b", "c"], buckets).unionByName(
+        _packed(_with_contexts(bi, ["b", "c"], tri, cut3, ["a", "b"]), ["b", "c"], buckets)).unionByName(
+        _packed(_with_contexts(uni, ["c"], bi, cut2, ["b"]), ["c"], buckets))
+    return entries, {"buckets": buckets, "total": total,
+                     "unknown": float(low.weight) / total / (low.words + 1) if low.words else 1.0}
+
+
+def _sliced(src: DataFrame) -> DataFrame:
+    """(slice, doc_id, lang, text), written once: a slice's texts are about 4 MB, or one longer text."""
+    def run(batches):
+        at = TaskContext.get().partitionId() << 33
+        for b in tx.slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, at)), *b.columns], ["slice", "doc_id", "text", "lang"])
+            at += 1
+
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return staged(src.select("doc_id", "text", "lang").mapInArrow(run, f"slice bigint, doc_id {kind}, text string, lang string"),
+                  "slices")
+
+
+def _asked(texts: DataFrame, buckets: int) -> DataFrame:
+    """The distinct n-grams of each slice, as requests to their buckets."""
+    def run(batches):
+        for batch in batches:
+            of = batch.column("slice").to_numpy()
+            for b in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1):
+                if not len(b):
+                    continue
+                x, y, z, _ = _grams(batch.column("text").slice(int(b[0]), len(b)).cast(pa.binary()).to_pylist())
+                keys = np.concatenate([np.unique(k) for k in (
+                    key(x, y, z), np.concatenate([key(x, y), key(y, z)]), np.concatenate([key(y), key(z)]))])
+                runs = list(_dealt(keys, buckets, ASKED))
+                for at in range(0, len(runs), 2000):
+                    some = runs[at:at + 2000]
+                    yield _entry([r[0] for r in some], 1, [int(of[b[0]])] * len(some),
+                                 [keys[at].tobytes() for _, at in some], [None] * len(some))
+
+    return texts.select("slice", "text").mapInArrow(run, _ENTRY)
+
+
+def _answers(batches):
+    """Entries found of each request; a bucket's entries come before the requests to it."""
+    bucket, rows, table = None, [], None
+    for batch in batches:
+        ids, asked = batch.column("bucket").to_numpy(), batch.column("asked").to_numpy()
+        cuts = np.flatnonzero((np.diff(ids) != 0) | (np.diff(asked) != 0)) + 1
+        for part in np.split(np.arange(len(ids)), cuts):
+            if not len(part):
+                continue
+            if ids[part[0]] != bucket:
+                bucket, rows, table = ids[part[0]], [], None
+            b = batch.slice(int(part[0]), len(part))
+            keys = b.column("keys").to_pylist()
+            if not asked[part[0]]:
+                rows += zip(keys, b.column("found").to_pylist())
+                continue
+            if table is None:
+                held = np.frombuffer(b"".join(k for k, _ in rows), np.uint64)
+                order, rows_of = np.argsort(held), np.frombuffer(b"".join(v for _, v in rows), "<f4").reshape(-1, 3)
+                table, rows = (held[order], rows_of[order]), []
+            held, values = table
+            if not len(held):
+                continue
+            wanted = np.frombuffer(b"".join(keys), np.uint64)
+            at = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
+            hit = held[at] == wanted
+            ends = np.cumsum([len(k) // 8 for k in keys])
+            upto = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], ends])]
+            got, found = wanted[hit], values[at[hit]]
+            yield pa.RecordBatch.from_arrays([
+                b.column("slice"),
+                pa.array([got[i:j].tobytes() for i, j in zip(upto, upto[1:])], pa.binary()),
+                pa.array([found[i:j].tobytes() for i, j in zip(upto, upto[1:])], pa.binary())], ["slice", "keys", "found"])
+
+
+def perplexities_joined(src: DataFrame, docs: DataFrame, size: int = SHARD) -> DataFrame:
+    """(doc_id, lang, n_tokens, perplexity) of every row of (doc_id, text, lang), the model learned from all of ``docs`` (column text)."""
+    entries, low = model_entries(docs, size)
+    texts = _sliced(src)
+    found = entries.unionByName(_asked(texts, low["buckets"])).repartition("bucket").sortWithinPartitions(
+        "bucket", "asked").mapInArrow(_answers, "slice bigint, keys binary, found binary")
+    kind = src.schema["doc_id"].dataType.simpleString()
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        held = np.frombuffer(b"".join(right.column("keys").to_pylist()), np.uint64)
+        values = np.frombuffer(b"".join(right.column("found").to_pylist()), "<f4").reshape(-1, 3)
+        order = np.argsort(held)
+        held, values = held[order], np.concatenate([values[order], np.zeros((1, 3), "<f4")]).astype(float)
+
+        def of(keys):
+            at = np.searchsorted(held, keys)
+            if len(held):
+                at = np.where(held[np.minimum(at, len(held) - 1)] == keys, at, len(held))
+            return values[at]
+
+        def level(own, context, lower):
+            total, weight = context[:, 1], context[:, 2]
+            seen = total > 0
+            total = np.where(seen, total, 1.0)
+            return np.where(seen, own[:, 0] / total + weight / total * lower, lower)
+
+        a, b, c, n = _grams(left.column("text").cast(pa.binary()).to_pylist())
+        words = of(key(c))
+        p = words[:, 0] / low["total"] + low["unknown"]
+        p = level(of(key(b, c)), of(key(b)), p)
+        p = level(of(key(a, b, c)), of(key(a, b)), p)
+        logs = np.add.reduceat(np.log(p), np.cumsum(n) - n) if len(n) else np.zeros(0)
+        return pa.table([left.column("doc_id"), left.column("lang"), pa.array(n), pa.array(np.exp(-logs / n))],
+                        ["doc_id", "lang", "n_tokens", "perplexity"])
+
+    return texts.groupBy("slice").cogroup(found.groupBy("slice")).applyInArrow(
+        scored, f"doc_id {kind}, lang string, n_tokens bigint, perplexity double")
+
+
 def quantiles(scored: DataFrame, share: float, own: int) -> DataFrame:
     """(lang, threshold): the least log-perplexity step that ``share`` of a language's rows do not pass.
 
@@ -192,8 +375,8 @@ def quantiles(scored: DataFrame, share: float, own: int) -> DataFrame:
         "lang").agg(F.exp(F.min("step") * STEP).alias("threshold"))
 
 
-def quality(docs: DataFrame, trusted: DataFrame, share: float = QUANTILE, max_words: int = MAX_WORDS,
-            max_docs: int = MAX_DOCS, own: int = OWN, id_col: str = "doc_id", text_col: str = "text",
+def quality(docs: DataFrame, trusted: DataFrame, share: float = QUANTILE, max_words: int | None = None,
+            max_docs: int | None = None, own: int = OWN, id_col: str = "doc_id", text_col: str = "text",
             lang_col: str = "lang") -> DataFrame:
     """(doc_id, lang, n_tokens, perplexity, threshold, kept) of every row; ``trusted`` lists doc_ids.
 
@@ -201,11 +384,13 @@ def quality(docs: DataFrame, trusted: DataFrame, share: float = QUANTILE, max_wo
     its own.  Repeated rows and null ids get a row each (a null id is never
     trusted); without trusted documents in the second half nothing is
     rejected.  Other columns are ignored; an empty table gives an empty result.
+    The model learns from all trusted texts of the first half; a caller who
+    sets ``max_words`` gets one of at most so many, in one broadcast.
     """
     src = docs.select(tx.col(id_col).alias("doc_id"), F.coalesce(tx.col(text_col), F.lit("")).alias("text"),
                       tx.col(lang_col).cast("string").alias("lang"))
-    model = train(training_texts(src, trusted, max_docs, max_words))
-    scored = staged(perplexities(src, model), "perplexity")
+    texts = training_texts(src, trusted, max_docs, max_words)
+    scored = staged(perplexities_joined(src, texts) if max_words is None else perplexities(src, train(texts)), "perplexity")
     second = trusted.where(_half(F.col("doc_id")) == 1).select("doc_id").distinct()
     limits = staged(quantiles(scored.join(second, "doc_id", "left_semi"), share, own), "quantiles")
     overall = [r.threshold for r in limits.where("lang = ''").collect()]

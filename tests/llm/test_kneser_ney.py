@@ -95,6 +95,27 @@ def test_training_words_are_bounded(spark):
     assert K.training_texts(src, ids, max_docs=4).count() <= 4 + 1  # one id has two rows
 
 
+def test_joined_perplexities_equal_plain_computation(spark):
+    train, rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3).fillna("", ["text"])
+    docs = df.where(f"doc_id < {len(train)} AND text <> 'w1 w2 w1'").select("text")
+    assert K.model_entries(docs, 37)[1]["buckets"] > 3
+    plain = Plain([t for _, t, _ in train])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r.doc_id, r.n_tokens, r.perplexity) for r in K.perplexities_joined(df, docs, size=37).collect()), key=key)
+    want = sorted(((d, *plain.perplexity(t)) for d, t, _ in rows), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-5)
+
+
+def test_model_learns_from_every_trusted_text_of_its_half(spark):
+    df = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    want = df.where(K._half(F.col("doc_id")) == 0).count()
+    assert want > 20_000 and K.training_texts(df, df.select("doc_id")).count() == want
+    long = spark.createDataFrame([(i, "w " * 600_000) for i in range(8)], "doc_id bigint, text string")
+    assert K.training_texts(long, long.select("doc_id")).count() == long.where(K._half(F.col("doc_id")) == 0).count()
+
+
 def test_quality_separates_labels_and_handles_odd_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     odd = spark.createDataFrame([(None, None, None, "s", 0), (-1, "", None, "s", 0), (-1, "x", "zz", "s", 0)], docs.schema)
