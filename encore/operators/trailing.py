@@ -18,8 +18,12 @@ results (tests check they agree):
     partial step, so a hot key or a hot value (one song with a third of all
     plays, the anonymous uid) is collapsed before it is shuffled.
 
-``many days``   one scan for the whole range, no per-day re-scan and no
-    row fan-out.  With the days before and after on which a (key, value) was
+``many days``   no per-day re-scan.  The rows are shuffled once, by key, and a
+    task does all that follows for its keys.  Keys that would fill more than a
+    task's share (a sketch finds them) and rows without a key go another way:
+    a map-side partial step collapses them to one row per (key, value), its
+    days as bits, before they are shuffled by key and value, and what is
+    shuffled by key then is bounded by the number of days.  With the days before and after on which a (key, value) was
     seen (``lag`` and ``lead``), a day begins a run for window ``k`` if the
     value was not seen in the ``k`` days before it, and ends one if not in the
     ``k`` days after.  Both are counted per (key, day) -- bounded by the number
@@ -43,6 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_minus, day_number, day_string
+from .skew import frequent_keys
 
 _COUNT_KIND = "#"
 
@@ -51,8 +56,7 @@ def _stacked(df: DataFrame, key: str, day: str, distinct: Sequence[str]) -> Data
     """One row per input row and kind: ('#', day) plus (col, value) per column."""
     pairs = [F.struct(F.lit(_COUNT_KIND).alias("kind"), F.col(day).cast("string").alias("v"))]
     pairs += [F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("v")) for c in distinct]
-    base = df.select(F.col(key).alias("key"), day_number(F.col(day)).alias("dn"),
-                     F.array(*pairs).alias("_kv"))
+    base = df.select(F.col(key).alias("key"), day_number(F.col(day)).alias("dn"), F.array(*pairs).alias("_kv"))
     # inline_outer: the array is never empty, and the outer form keeps Catalyst
     # from adding a "size(array) > 0" filter that evaluates it a second time.
     return (base.select("key", "dn", F.inline_outer("_kv"))
@@ -100,8 +104,8 @@ def trailing_stats(df: DataFrame, key: str, day: str, spans: Sequence[int],
     scan.  ``first_day == last_day`` takes the single-day plan.
     """
     spans = _checked(spans)
-    rows = _stacked(_in_range(df, day, spans, first_day, last_day), key, day, distinct)
-    return _merged(rows, _per_day, key, day, spans, distinct, first_day, last_day)
+    df = _in_range(df, day, spans, first_day, last_day).select(key, day, *distinct)
+    return _merged(df, lambda d: _stacked(d, key, day, distinct), _per_day, key, day, spans, distinct, first_day, last_day)
 
 
 def trailing_from_state(state: DataFrame, key: str, day: str, spans: Sequence[int],
@@ -109,18 +113,51 @@ def trailing_from_state(state: DataFrame, key: str, day: str, spans: Sequence[in
                         last_day: str | None = None) -> DataFrame:
     """:func:`trailing_stats` from a kept :func:`daily_state`; only the days a window covers are read."""
     spans = _checked(spans)
-    rows = _in_range(state, day, spans, first_day, last_day).select(
-        F.col(key).alias("key"), "kind", "v", "n", day_number(F.col(day)).alias("dn"))
-    return _merged(rows, lambda r: r, key, day, spans, distinct, first_day, last_day)
+    state = _in_range(state, day, spans, first_day, last_day).select(key, "kind", "v", "n", day)
 
+    def rows(kept: DataFrame) -> DataFrame:
+        return kept.select(F.col(key).alias("key"), "kind", "v", "n", day_number(F.col(day)).alias("dn"))
 
-def _merged(rows, per_day, key, day, spans, distinct, first_day, last_day) -> DataFrame:
+    return _merged(state, rows, lambda r: r, key, day, spans, distinct, first_day, last_day)
+
+
+def _merged(df, rows, per_day, key, day, spans, distinct, first_day, last_day) -> DataFrame:
     if first_day is not None and first_day == last_day:
-        return _single_day(rows, key, day, spans, distinct, first_day)
-    out = _many_days(per_day(rows), key, day, spans, distinct)
+        return _single_day(rows(df), key, day, spans, distinct, first_day)
+    calm, apart = apart_by_key(df, key)
+    out = _many_days(per_day(rows(calm)), key, day, spans, distinct).unionByName(
+        _many_days(_days_as_bits(rows(apart), *_days(df, day)), key, day, spans, distinct))
     return out if first_day is None else out.where(F.col(day) >= F.lit(first_day))
 
 
+def apart_by_key(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows shuffled by ``key``; and, as they lie, those without a key or of a key that fills more than a task's share."""
+    frequent = frequent_keys(df, key, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    apart = F.col(key).isNull()
+    if frequent:
+        apart = apart | F.col(key).isin(sorted(frequent))
+    return df.where(~apart).repartition(F.col(key)), df.where(apart)
+
+
+def _days(df: DataFrame, day: str) -> tuple[int, int]:
+    """First and last day number."""
+    r = df.select(day).distinct().select(day_number(F.col(day)).alias("dn")).agg(F.min("dn"), F.max("dn")).first()
+    return (r[0], r[1]) if r[0] is not None else (0, 0)
+
+
+def _days_as_bits(rows: DataFrame, first: int, last: int) -> DataFrame:
+    """The per-day rows of ``rows``, by way of one row per (key, kind, value) with a bit for each day from ``first`` to ``last``."""
+    at = f"(dn - ({first}))"
+    words = [F.expr(f"bit_or(CASE WHEN {at} div 64 = {w} THEN shiftleft(1L, {at} % 64) END)").alias(f"_w{w}")
+             for w in range((last - first) // 64 + 1)]
+    held = rows.groupBy("key", "kind", "v").agg(F.sum("n").alias("n"), F.max(F.col("dn").isNull()).alias("_undated"), *words)
+    bits = F.array(*[F.coalesce(F.col(f"_w{w}"), F.lit(0).cast("bigint")) for w in range(len(words))])
+    days = F.concat(F.sequence(F.lit(0), F.lit(last - first)), F.array(F.lit(None).cast("int")))
+    return (held.select("key", "kind", "v", "n", "_undated", bits.alias("_bits"), F.explode(days).alias("_at"))
+            .where(F.expr("CASE WHEN _at IS NULL THEN _undated ELSE getbit(_bits[cast(_at div 64 as int)], _at % 64) = 1 END"))
+            .select("key", "kind", "v", "n", (F.col("_at") + first).alias("dn")))
+
+
 def _output_columns(key: str, day: str, spans, distinct) -> list[str]:
     cols = [key, day, "n_0"] + [f"n_{k}" for k in spans] + [f"peak_{k}" for k in spans]
     for c in distinct:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import songs as S
-from ..operators.trailing import daily_state, sketch_state, trailing_from_sketches, trailing_from_state, trailing_stats
+from ..operators.trailing import apart_by_key, daily_state, sketch_state, trailing_from_sketches, trailing_from_state, trailing_stats
 
 
 def base_info(song_info: DataFrame, tz: str = "UTC", mode: str = "reference") -> DataFrame:
@@ -61,7 +61,9 @@ def features(plays: DataFrame, base: DataFrame, first_day: str | None = None,
         raise ValueError("distinct must be 'exact' or 'approx'")
     plays = counted_plays(plays, optrate_types)
     if distinct == "approx":
-        return features_from_sketches(sketches(plays), base, first_day, last_day, peak, mode, inclusive)
+        calm, apart = (trailing_from_sketches(sketches(p), *_WINDOWED, _spans(inclusive), _DISTINCT, first_day, last_day)
+                       for p in apart_by_key(plays, "songid"))
+        return _features(calm.unionByName(apart), base, peak, mode, _spans(inclusive))
     stats = trailing_stats(plays, *_WINDOWED, _spans(inclusive), _DISTINCT, first_day, last_day)
     return _features(stats, base, peak, mode, _spans(inclusive))
 

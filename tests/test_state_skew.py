@@ -107,3 +107,27 @@ def test_bucketed_sources_join_without_shuffle(spark):
     assert keyed and set(keyed) <= {"store_id", "id"} and plan.count("SortMergeJoin") >= 4
     m = fx.machine_sources(spark, SF_SMALL, True)
     assert rows(df) == rows(machines.base_info(m["mac"], m["loc"], m["admin"], m["store_map"], m["store"]))
+
+
+def test_frequent_and_missing_keys_go_apart_with_the_same_statistics(spark):
+    from encore.operators.trailing import _days_as_bits, _per_day, _stacked, apart_by_key
+    rnd = random.Random(4)
+    recs = [("hot" if rnd.random() < 0.4 else rnd.choice([None, *"abcdefghijklmnopqrstuvwxyz"]), rnd.choice(["0", None, "u1", "u2"]),
+             f"o{rnd.randrange(40)}", rnd.choice(["20200101", "20200131", "20200310", "20200311", None])) for _ in range(900)]
+    plays = spark.createDataFrame(recs, "songid string, uid string, order_id string, data_dt string")
+    calm, apart = apart_by_key(plays, "songid")
+    assert {r.songid for r in apart.distinct().select("songid").collect()} >= {"hot", None}
+    assert calm.count() + apart.count() == 900 and calm.where("songid = 'hot'").count() == 0
+    stacked = _stacked(plays, "songid", "data_dt", ("uid", "order_id"))
+    first, last = stacked.agg(F.min("dn"), F.max("dn")).first()
+    want, got = _per_day(stacked), _days_as_bits(stacked, first, last)
+    cols = ("key", "kind", "v", "dn")
+    assert last - first > 64 and rows(got, *cols) == rows(want, *cols)
+    assert rows(got.where("kind = '#'"), *cols, "n") == rows(want.where("kind = '#'"), *cols, "n")
+
+
+def test_plays_are_shuffled_once_by_song(spark):
+    """The rows of all songs but those apart meet one shuffle, whose keys all later steps share."""
+    plays = _plays(spark)
+    plan = _plan(trailing_stats(plays, *ARGS))
+    assert plan.count("REPARTITION_BY_COL") == 1 and len(re.findall("Exchange hashpartitioning", plan)) == 1 + 3  # three of those apart
