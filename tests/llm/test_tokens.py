@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from encore.llm import text as tx
 from encore.llm import bpe_count, packing, text, token_store
@@ -187,3 +187,21 @@ def test_recent_keeps_what_is_asked_for():
         assert keep[k] == (k,) and keep["often"] == ("often",)
         assert len(keep) + len(keep.older) <= 21
     assert made.count("often") == 1 and len(made) == 201
+
+
+def test_words_of_letters_skip_the_whole_way():
+    tok = Tokenizer.from_file(WORDS)
+    letters = tx._letters(tok)
+    rng = random.Random(11)
+    words = ["".join(rng.choices(tx._LETTERS, k=rng.randrange(1, 12))) + "".join(rng.choices("!.,<|>#_-`~", k=rng.randrange(4)))
+             for _ in range(3000)] + ["x'", "'s", "o's!", "a\u0301.", "e\u0338", "×a", "a÷", "ÀÉ!!", "ß", "ŉ", "a1", "a<|endoftext|>", "a<|"]
+    chunks = tx.word_encoder(tx.read_file(WORDS))
+    for w in words:
+        ids = tok.encode(w, add_special_tokens=False).ids
+        assert np.frombuffer(chunks[w.encode()], "<u4").tolist() == ids, repr(w)
+        if all(c in tx._LETTERS for c in w):
+            assert [t.id for t in tok.model.tokenize(w.translate(letters))] == ids
+    assert len(letters) == len(tx._LETTERS)
+    other = Tokenizer.from_file(WORDS)
+    other.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("e", "isolated"), other.pre_tokenizer])
+    assert tx._letters(other) == {}
