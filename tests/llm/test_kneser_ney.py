@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +139,48 @@ def test_shards_find_every_key():
     table = K.shards(keys, np.arange(len(keys), dtype=np.float32), 700)
     assert len(table) > 5 and (K.joined(keys, table, -1) == np.arange(len(keys))).all()
     assert (K.joined(keys + np.uint64(1), table, -1) == -1).sum() > 4900
+
+
+def test_words_are_cut_as_bytes_split_does():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("aAbBcÉé \t\n\r\x0b\x0c\x1c\x85 ") for _ in range(rng.choice([0, 1, 5, 60, 400]))).encode() for _ in range(500)]
+    texts += [b"x" * (3 * K.AT_ONCE) + b" y " + b"z " * K.AT_ONCE, b"", b" ", b"ab", b"cd"]
+    for arr in (pa.array(texts, pa.binary()), pa.array([b"left out", *texts], pa.binary()).slice(1), pa.array(texts, pa.large_binary())):
+        hashes, sizes = K._hashes(arr)
+        assert sizes.tolist() == [len(t.split()) for t in texts]
+        words = [w for t in texts for w in t.lower().split()]
+        assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+    assert K._hashes(pa.array(["", ""]))[1].tolist() == [0, 0] and not len(K._hashes(pa.array([], pa.string()))[1])
+
+
+def test_the_filter_rules_out_no_entry_and_every_entry_is_found():
+    rng = np.random.default_rng(6)
+    keys, buckets, bits = rng.integers(0, 2**64, 4000, np.uint64), 7, 800
+    held = np.zeros((buckets, bits), bool)
+    held[keys % np.uint64(buckets), K._bit(keys, bits)] = True
+    held = np.packbits(held, axis=1)
+    others = rng.integers(0, 2**64, 4000, np.uint64)
+    assert len(K._maybe(keys, held)) == 4000 and 1000 < len(K._maybe(others, held)) < 3500
+    values = rng.random(4000)
+    hit, got = K._found(K._table(keys.tobytes(), values.tobytes()), np.concatenate([others, keys, [np.uint64(0), ~np.uint64(0)]]))
+    assert (hit == np.arange(4000, 8000)).all() and (got == values).all()
+    assert not len(K._found(K._table(b"", b""), keys)[0])
+
+
+def test_only_a_pass_of_the_model_is_on_disk(spark, monkeypatch):
+    train, rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3).fillna("", ["text"])
+    docs = df.where(f"doc_id < {len(train)}").select("text")
+    wrote, kept, write, drop = [], [], K.staged, K.drop
+
+    def staged(out, name, *more):
+        wrote.append((name, out.columns))
+        kept.extend(more[:1])
+        return write(out, name, *more)
+
+    monkeypatch.setattr(K, "staged", staged)
+    monkeypatch.setattr(K, "drop", lambda s, path: (kept.remove(path), drop(s, path)))
+    assert K.perplexities_joined(df, docs, size=200).count() == len(rows)
+    passes = [columns for name, columns in wrote if name == "sums"]
+    assert len(passes) > 3 and not kept and all(c == ["file", "at", "log"] for c in passes)
+    assert not any("text" in columns for name, columns in wrote if name not in ("training", "placed"))
