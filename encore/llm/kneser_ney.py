@@ -320,6 +320,11 @@ def _cut(n: str, d: list[float]) -> Column:
     return F.when(F.col(n) == 1, d[0]).when(F.col(n) == 2, d[1]).otherwise(d[2])
 
 
+def _single(c: Column) -> Column:
+    """To single precision, in which discounted counts and weights are held."""
+    return c.cast("float").cast("double")
+
+
 def model_entries(docs: DataFrame, size: int = BUCKET):
     """(``entries``, the model's numbers): ``entries(k)`` gives the n-grams of pass ``k`` as rows of buckets of about ``size`` entries.
 
@@ -344,9 +349,9 @@ def model_entries(docs: DataFrame, size: int = BUCKET):
     count = sums.t + 2 * sums.k + sums.rows
     passes = min(PASSES, max(1, -(-count // (4 * size))))
     low = {"buckets": max(1, -(-count // (size * passes))), "passes": passes, "unknown": unknown}
-    p = F.when(F.col("n") > 0, (F.col("n") - _cut("n", d1)) / n + unknown)
-    held = words.select("w", p.alias("p"), "total", (
-        d2[0] * F.col("k1") + d2[1] * F.col("k2") + d2[2] * (F.col("k") - F.col("k1") - F.col("k2"))).alias("weight"))
+    p = F.when(F.col("n") > 0, _single(F.col("n") - _cut("n", d1)) / n + unknown)
+    weight = d2[0] * F.col("k1") + d2[1] * F.col("k2") + d2[2] * (F.col("k") - F.col("k1") - F.col("k2"))
+    held = words.select("w", p.alias("p"), _single(F.col("total")).alias("total"), _single(weight).alias("weight"))
     stop = held.where(F.col("w") == STOP).first()
     low["stop"] = float(np.log(stop.p)) if stop else float(np.log(unknown))
 
@@ -358,11 +363,11 @@ def model_entries(docs: DataFrame, size: int = BUCKET):
         tri = tri.join(held.select(F.col("w").alias("c"), "p"), "c").join(
             firsts.select(F.col("w").alias("b"), "total", "weight"), "b")
         lower = F.col("weight") / F.col("total") * F.col("p")
-        tri = tri.withColumn("low", (F.col("m") - _cut("m", d2)) / F.col("total") + lower).select(
+        tri = tri.withColumn("low", _single(F.col("m") - _cut("m", d2)) / F.col("total") + lower).select(
             "a", "b", "c", "n", "low", F.when(F.col("pair"), F.log(F.col("low") / lower)).alias("bi"))
-        tri = tri.withColumns({"all": F.sum("n").over(context), "left": F.sum(_cut("n", d3)).over(context),
+        tri = tri.withColumns({"all": _single(F.sum("n").over(context)), "left": _single(F.sum(_cut("n", d3)).over(context)),
                                "first": F.min("c").over(context) == F.col("c")})
-        tri = tri.select("a", "b", "c", F.log1p((F.col("n") - _cut("n", d3)) / (F.col("left") * F.col("low"))).alias("tri"), "bi",
+        tri = tri.select("a", "b", "c", F.log1p(_single(F.col("n") - _cut("n", d3)) / (F.col("left") * F.col("low"))).alias("tri"), "bi",
                          F.when(F.col("first"), F.log(F.col("left") / F.col("all"))).alias("context"))
         value = F.coalesce(F.log(F.col("p") / unknown), F.lit(0.0)) + F.when(
             F.col("total") > 0, F.log(F.col("weight") / F.col("total"))).otherwise(0.0)
